@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from rosterloom.llm.license_rules import RULES, Rule
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What parts words: every ASCII character but digits and, after lower-casing, letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def canonical(text: Column) -> Column:
     """Words parted by single spaces, with a space at either end."""
-    low = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
+    # lower() also changes letters beyond A-Z, which stay word characters and stand in no rule; the Kelvin sign alone would become a letter k
+    low = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u039a")))
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(low, BETWEEN, " ")), F.lit(" "))
 
 
