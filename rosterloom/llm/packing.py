@@ -223,7 +223,7 @@ def _pack(size: int):
     def run(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(["doc_id", "piece", "ids_crc32", "_id"], kind="stable", ignore_index=True)
         which, offset = best_fit_decreasing(block["length"].to_numpy(), size)
-        return pd.DataFrame({"_id": block["_id"], "sequence_id": (block["_block"].astype("int64") << 32) + which, "offset": offset, "_block": block["_block"]})
+        return pd.DataFrame({"_id": block["_id"], "sequence_id": block["_block"] * (1 << 32) + which, "offset": offset, "_block": block["_block"]})
 
     return run
 

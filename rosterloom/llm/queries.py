@@ -5,8 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterloom.llm import exact_dedup, licenses, mixing
-from rosterloom.llm.common import table
+from rosterloom.llm import exact_dedup, language, licenses, mixing, packing, toxicity
+from rosterloom.llm.common import crc_of_id, table
+
+
+def tokenizer_path() -> str:
+    """The installed vocabulary file that the packing query names."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", (crc_of_id() % 3 == 1).alias("held_out"), "score", "predicted")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language.fit(docs))
+    return found.select("doc_id", (crc_of_id() % 4 == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,10 +41,18 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(docs))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+    return packing.pack(made)
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_language_id": op2_language_id,
     "op4_mixing": op4_mixing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_license_scan": op7_license_scan,
+    "op8_best_fit_packing": op8_best_fit_packing,
 }
 
 ORACLES = {
