@@ -9,10 +9,11 @@ goes to the executors; each distinct word of a batch is scored once.
 from __future__ import annotations
 
 import zlib
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,10 +21,12 @@ from pyspark.sql import functions as F
 from rosterloom.llm.common import crc_of_id, slices, texts_of
 
 #: Labelled rows to train on at most, drawn by a hash of doc_id; a bound on the driver's work.
-SAMPLE = 8000
-BUCKETS, WIDTH, GRAMS = 1 << 18, 8, (3, 4, 5, 6, 7)
+SAMPLE = 12_000
+BUCKETS, WIDTH, GRAMS = 1 << 18, 8, (3, 4, 5, 6)
 #: Averages are small where a few words of hundreds matter; the softmax reads them on this scale.
 SCALE = 40.0
+#: Words without a vector that each average holds besides, so that a few words alone say little.
+PRIOR = 20
 _EDGE = ".,;:!?\"'()[]{}<>|*#%&$-_/\\"
 
 
@@ -64,33 +67,40 @@ class Model:
         self.weights, self.bias = weights.astype(np.float32), float(bias)
 
     def score(self, texts: list[str]) -> np.ndarray:
-        split = [words_of(t) for t in texts]
-        sizes = np.array([len(ws) for ws in split], np.int64)
-        codes, distinct = pd.factorize(np.array([w for ws in split for w in ws], object))
-        each = np.concatenate([[0.0], np.cumsum(Bags(list(distinct)).mean(self.weights)[codes] if len(codes) else [])])
-        ends = np.cumsum(sizes)
-        mean = (each[ends] - each[ends - sizes]) / np.maximum(sizes, 1)
+        doc, word, weight, distinct, sums = bag(texts)
+        each = Bags(distinct).mean(self.weights)
+        mean = np.bincount(doc, weight * each[word], minlength=len(texts)) / (sums + PRIOR) if len(word) else np.zeros(len(texts))
         return 1 / (1 + np.exp(-np.clip(SCALE * mean + self.bias, -30, 30)))
 
 
-def train(texts: list[str], labels: list[int], steps: int = 120, rate: float = 0.3, decay: float = 1e-6, seed: int = 1) -> Model:
-    """Fit by full-batch gradient descent with momentum on the log loss. Words of one document only are left
+def bag(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
+    """Of each text its distinct words: (text, word, weight) by number, the words,
+    and each text's sum of weights. A word weighs the root of its count, so that
+    one word said a thousand times isn't the whole text."""
+    numbers: dict[str, int] = {}
+    sizes, words, counts = np.zeros(len(texts), np.int64), array("q"), array("q")
+    for i, text in enumerate(texts):
+        of = Counter(words_of(text))
+        sizes[i] = len(of)
+        words.extend([numbers.setdefault(w, len(numbers)) for w in of])
+        counts.extend(of.values())
+    doc, weight = np.repeat(np.arange(len(texts)), sizes), np.sqrt(np.array(counts, np.float64))
+    return doc, np.array(words, np.int64), weight, list(numbers), np.bincount(doc, weight, minlength=len(texts)) if len(doc) else np.zeros(len(texts))
+
+
+def train(texts: list[str], labels: list[int], steps: int = 80, rate: float = 0.05, decay: float = 1e-5, floor: float = 1e-6, seed: int = 1) -> Model:
+    """Fit by full-batch Adam on the log loss. Words of one document only are left
     out of training; their n-grams are met in other words. Without both labels
     the model gives everything the labels' mean."""
     y = np.asarray(labels, float)
     if not len(y) or y.min() == y.max():
         mean = float(np.clip(y.mean() if len(y) else 0.0, 0.01, 0.99))
         return Model(np.zeros(BUCKETS), np.log(mean / (1 - mean)))
-    split = [words_of(t) for t in texts]
-    codes, distinct = pd.factorize(np.array([w for ws in split for w in ws], object))
-    sizes = np.array([len(ws) for ws in split], np.int64)
-    doc = np.repeat(np.arange(len(split)), sizes)
-    pairs, counts = np.unique(doc * (len(distinct) + 1) + codes, return_counts=True)
-    doc, word = pairs // (len(distinct) + 1), pairs % (len(distinct) + 1)
+    doc, word, weight, distinct, sums = bag(texts)
     often = np.bincount(word, minlength=len(distinct)) >= 2
     number = np.cumsum(often) - 1
     keep = often[word]
-    doc, word, share = doc[keep], number[word[keep]], (counts / np.maximum(sizes, 1)[doc])[keep] * SCALE
+    doc, word, share = doc[keep], number[word[keep]], (weight / (sums + PRIOR)[doc])[keep] * SCALE
     bags, n_words = Bags([w for w, o in zip(distinct, often) if o]), int(often.sum())
 
     rng = np.random.default_rng(seed)
@@ -98,18 +108,17 @@ def train(texts: list[str], labels: list[int], steps: int = 120, rate: float = 0
     bags.flat = flat
     vec, read = rng.normal(0, 0.1, (len(used), WIDTH)).astype(np.float32), rng.normal(0, 0.3, (WIDTH, 2)).astype(np.float32)
     bias = np.log(np.array([1 - y.mean(), y.mean()]))
-    moved = [np.zeros_like(p) for p in (vec, read, bias)]
-    for step in range(steps):
+    first, second = [[np.zeros_like(p) for p in (vec, read, bias)] for _ in range(2)]
+    for step in range(1, steps + 1):
         logit = np.bincount(doc, share * bags.mean(vec @ (read[:, 1] - read[:, 0]))[word], minlength=len(y)) + bias[1] - bias[0]
         off = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y) / len(y)
         down = bags.spread(np.bincount(word, share * off[doc], minlength=n_words), len(used)).astype(np.float32)
         to_read = vec.T @ down
         grads = (np.outer(down, read[:, 1] - read[:, 0]) + decay * vec, np.stack([-to_read, to_read], 1) + decay * read, np.array([-off.sum(), off.sum()]))
-        # a tensor moves along its gradient, by a rate that its largest entry sets and that falls to nothing
-        for p, m, g, top in zip((vec, read, bias), moved, grads, (rate, rate / 4, rate / 4)):
-            m *= 0.8
-            m += 0.2 * g
-            p -= (top * (1 - step / steps) * m / (np.abs(m).max() + 1e-12)).astype(p.dtype)
+        for p, m, v, g in zip((vec, read, bias), first, second, grads):
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            p -= (rate * m / (1 - 0.9**step) / (np.sqrt(v / (1 - 0.99**step)) + floor)).astype(p.dtype)
     weights = np.zeros(BUCKETS)
     weights[used] = vec @ (read[:, 1] - read[:, 0])
     return Model(weights, bias[1] - bias[0])
