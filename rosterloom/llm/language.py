@@ -18,6 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosterloom.llm.common import crc_of_id, slices, texts_of
 
@@ -196,7 +197,7 @@ def identify(docs: DataFrame, model: Identifier) -> DataFrame:
     columns of these names are replaced, others pass through."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rest = docs.drop("lang_pred", "score", "rejected")
-    schema = rest.schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    schema = T.StructType([*rest.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosterloom.llm.common import crc_of_id, slices, texts_of
 
@@ -142,7 +143,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     the two names are replaced, others pass through."""
     sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
     rest = docs.drop("score", "predicted")
-    schema = rest.schema.add("score", "double").add("predicted", "int")
+    schema = T.StructType([*rest.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*sent.value)
