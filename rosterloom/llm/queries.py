@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterloom.llm import exact_dedup, language, licenses, mixing, packing, toxicity
+from rosterloom.llm import exact_dedup, html_text, language, licenses, masked_lm, media, mixing, packing, toxicity
 from rosterloom.llm.common import crc_of_id, table
 
 
@@ -28,10 +28,20 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_of_id() % 4 == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = media.decode(media.encode(table(spark, sf_dir, "documents")))
+    return made.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return masked_lm.score(docs, masked_lm.fit(docs)).drop("text")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -46,13 +56,20 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(made)
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
+    "op3_media_columns": op3_media_columns,
     "op4_mixing": op4_mixing,
+    "op5_masked_lm": op5_masked_lm,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_license_scan": op7_license_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLES = {
