@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterloom.llm import exact_dedup, html_text, language, licenses, masked_lm, media, mixing, packing, toxicity
+from rosterloom.llm import exact_dedup, html_text, language, licenses, masked_lm, media, mixing, near_dedup, packing, toxicity
 from rosterloom.llm.common import crc_of_id, table
 
 
@@ -56,6 +56,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(made)
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), words=2, threshold=80)
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
@@ -69,6 +73,7 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_license_scan": op7_license_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_near_dedup": op9_near_dedup,
     "op10_html_extraction": op10_html_extraction,
 }
 
