@@ -19,13 +19,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder; one of our own only where none is set."""
+    own = spark.conf.get("spark.checkpoint.dir", None)
+    if own is None:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rosterloom-"))
+        own = spark.sparkContext.getCheckpointDir()
+    return own.rstrip("/")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the folder that all executors share, so that a lost
     executor never forces (or changes) what has been computed before."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        own = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(own or tempfile.mkdtemp(prefix="rosterloom-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
