@@ -43,7 +43,7 @@ def require_ids(ats: DataFrame) -> DataFrame:
 
 def read_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(resume_id, path, raw_text) of text files, each whole."""
-    rows = spark.read.option("wholetext", True).text(path).withColumn("path", F.input_file_name())
+    rows = spark.read.text(path, wholetext=True).withColumn("path", F.input_file_name())
     return rows.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("resume_id"), "path", F.coalesce("value", F.lit("")).alias("raw_text"))
 
 

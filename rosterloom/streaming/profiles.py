@@ -11,7 +11,7 @@ from rosterloom.plans import pipeline
 
 
 def read_texts(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    rows = spark.readStream.option("wholetext", True).option("maxFilesPerTrigger", files_per_batch).text(folder)
+    rows = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder, wholetext=True)
     return rows.withColumn("path", F.input_file_name()).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("resume_id"), F.col("value").alias("raw_text"))
 
 
