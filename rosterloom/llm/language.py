@@ -25,7 +25,7 @@ from rosterloom.llm.common import crc_of_id, slices, texts_of
 #: Documents of each language to learn from on average, drawn by a hash of doc_id.
 SAMPLE = 400
 ORDER, DISCOUNT = 4, 0.75
-_MUL = np.uint64(0x9E3779B97F4A7C15)
+_MUL, _ZERO = np.uint64(0x9E3779B97F4A7C15), np.zeros(1, np.uint64)
 
 
 @lru_cache(1)
@@ -90,7 +90,7 @@ class CharModel:
         for k in range(order, 0, -1):
             ok = back >= k - 1 if k > 1 else ~last
             own, ctx = grams[k - 1][ok], (grams[k - 2] if k > 1 else np.zeros_like(grams[0]))
-            ctx = np.concatenate([[0], ctx[:-1]]).astype(np.uint64)[ok] if k > 1 else np.zeros(ok.sum(), np.uint64)
+            ctx = np.concatenate([_ZERO, ctx[:-1]])[ok] if k > 1 else np.zeros(ok.sum(), np.uint64)
             keys, at, n = np.unique(own, return_index=True, return_counts=True)
             ctx = ctx[at]
             if k < order:
@@ -129,7 +129,7 @@ class Identifier:
         codes, _ = pd.factorize(grams[-1])
         rep = np.zeros(codes.max() + 1, np.int64)
         rep[codes[::-1]] = np.arange(len(codes))[::-1]
-        before = [np.zeros_like(grams[0]), *(np.concatenate([[0], g[:-1]]).astype(np.uint64) for g in grams[:-1])]
+        before = [np.zeros_like(grams[0]), *(np.concatenate([_ZERO, g[:-1]]) for g in grams[:-1])]
         some, ctx = [g[rep] for g in grams], [b[rep] for b in before]
         n = np.maximum(np.diff(first) - 1, 0)
         out = np.zeros((len(texts), len(self.models)))
