@@ -28,20 +28,20 @@ BASE = [
 ]
 
 _RULES = r"""
-10 agpl-3.0 affero: gnu affero general public license (as published by the free software foundation )?(either )?(version|v) 3
+10 agpl-3.0 affero: gnu affero general public license (as published by the free software foundation )?(either )?(version |v ?)3
 12 agpl-3.0 agpl: spdx license identifier agpl 3 0( only| or later)?
 14 agpl-3.0 agpl: (gnu )?agpl ?v?3( 0)?( only| or later)?
 16 agpl-3.0 affero: www gnu org licenses agpl( 3 0)?( html| txt)?
-18 agpl-1.0 affero: affero general public license (version|v) 1
+18 agpl-1.0 affero: affero general public license (version |v ?)1
 20 agpl affero: (gnu )?affero general public licen[cs]e
 22 agpl affero: affero gpl
 24 agpl agpl: licensed under (the )?agpl
 10 lgpl-2.0 lesser: gnu library general public license version 2
-11 lgpl-2.0 library: gnu library general public licen[cs]e( as published by the free software foundation)?( either)? (version|v) 2
+11 lgpl-2.0 library: gnu library general public licen[cs]e( as published by the free software foundation)?( either)? (version |v ?)2
 12 lgpl-2.1 lgpl: spdx license identifier lgpl 2 1( only| or later)?
 12 lgpl-3.0 lgpl: spdx license identifier lgpl 3 0( only| or later)?
-14 lgpl-2.1 lesser: gnu lesser general public license( as published by the free software foundation)?( either)? (version|v) 2 1
-14 lgpl-3.0 lesser: gnu lesser general public license( as published by the free software foundation)?( either)? (version|v) 3
+14 lgpl-2.1 lesser: gnu lesser general public license( as published by the free software foundation)?( either)? (version |v ?)2 1
+14 lgpl-3.0 lesser: gnu lesser general public license( as published by the free software foundation)?( either)? (version |v ?)3
 16 lgpl-2.1 lgpl: (gnu )?lgpl ?v?2 1( only| or later)?
 16 lgpl-3.0 lgpl: (gnu )?lgpl ?v?3( 0)?( only| or later)?
 17 lgpl-2.0 lgpl: (gnu )?lgpl ?v?2 0( only| or later)?
@@ -49,9 +49,9 @@ _RULES = r"""
 20 lgpl library: (gnu )?library general public licen[cs]e
 22 lgpl lgpl: licensed under (the )?(gnu )?lgpl
 24 lgpl lesser: lesser gpl
-10 gpl-2.0 general public license: gnu general public license( as published by the free software foundation)?( either)? (version|v) 2( or at your option any later version)?
-10 gpl-3.0 general public license: gnu general public license( as published by the free software foundation)?( either)? (version|v) 3( or at your option any later version)?
-11 gpl-1.0 general public license: gnu general public license( as published by the free software foundation)?( either)? (version|v) 1
+10 gpl-2.0 general public license: gnu general public license( as published by the free software foundation)?( either)? (version |v ?)2( or at your option any later version)?
+10 gpl-3.0 general public license: gnu general public license( as published by the free software foundation)?( either)? (version |v ?)3( or at your option any later version)?
+11 gpl-1.0 general public license: gnu general public license( as published by the free software foundation)?( either)? (version |v ?)1
 12 gpl-2.0 gpl: spdx license identifier gpl 2 0( only| or later)?
 12 gpl-3.0 gpl: spdx license identifier gpl 3 0( only| or later)?
 12 gpl-1.0 gpl: spdx license identifier gpl 1 0( only| or later)?
@@ -78,9 +78,9 @@ _RULES = r"""
 26 gpl general public licence: gnu general public licence
 28 gpl warranty: without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license
 30 gpl copyleft: gnu copyleft
-10 gfdl-1.1 documentation: gnu free documentation license (version|v) 1 1
-10 gfdl-1.2 documentation: gnu free documentation license (version|v) 1 2
-10 gfdl-1.3 documentation: gnu free documentation license (version|v) 1 3
+10 gfdl-1.1 documentation: gnu free documentation license (version |v ?)1 1
+10 gfdl-1.2 documentation: gnu free documentation license (version |v ?)1 2
+10 gfdl-1.3 documentation: gnu free documentation license (version |v ?)1 3
 12 gfdl gfdl: gfdl 1 [123]( only| or later)?
 20 gfdl documentation: gnu free documentation licen[cs]e
 22 gfdl gfdl: licensed under (the )?gfdl

@@ -147,7 +147,7 @@ def test_licenses(docs, none, spark):
     got = {r["doc_id"]: r for r in licenses.digest(licenses.scan(docs.select("doc_id", "text", "detections", "n_words"))).collect()}
     r = got[10]
     assert r["base_labels"] == "apache,cc-by,gpl,mit" and r["n_base"] == 4 and {"apache-2.0", "gpl-3.0", "cc-by-4.0"} <= set(r["labels"].split(","))
-    assert (r["first_word"], r["last_word"]) == (3, 18) and 0 < r["score"] <= 1
+    assert (r["first_word"], r["last_word"]) == (3, 17) and 0 < r["score"] <= 1
     assert (got[3]["n_words"], got[3]["n_base"], got[3]["first_word"], got[3]["labels"], got[3]["score"]) == (0, 0, None, "", 0.0)
     assert licenses.scan(none).count() == 0
     assert len(license_rules.RULES) > 200
