@@ -80,6 +80,9 @@ def _text(c, by: str = "|"):
     return F.array_join(c, by)
 
 
+# The outer generators keep Catalyst from evaluating the generated array once more in a filter below.
+
+
 def emails_from_documents(spark, sf_dir):
     found = _documents(spark, sf_dir).select("doc_id", extract.emails_in(F.col("text")).alias("e"))
     return found.select("doc_id", F.size("e").cast("long").alias("n"), _text("e").alias("emails"))
@@ -96,7 +99,7 @@ def urls_from_pages(spark, sf_dir):
 
 
 def section_split(spark, sf_dir):
-    return _sections(spark, sf_dir).select("resume_id", F.posexplode("s").alias("pos", "x")).select("resume_id", F.col("pos").cast("long").alias("pos"), "x.key", "x.body")
+    return _sections(spark, sf_dir).select("resume_id", F.posexplode_outer("s").alias("pos", "x")).where("pos is not null").select("resume_id", F.col("pos").cast("long").alias("pos"), "x.key", "x.body")
 
 
 def resume_emails(spark, sf_dir):
@@ -121,12 +124,12 @@ def certifications(spark, sf_dir):
 
 
 def experience_records(spark, sf_dir):
-    each = _sections(spark, sf_dir).select("resume_id", F.posexplode(extract.experience(F.col("s"))).alias("pos", "e"))
+    each = _sections(spark, sf_dir).select("resume_id", F.posexplode_outer(extract.experience(F.col("s"))).alias("pos", "e")).where("pos is not null")
     return each.select("resume_id", F.col("pos").cast("long").alias("pos"), "e.title", "e.company", "e.start_date", "e.end_date", "e.description", F.size("e.bullets").cast("long").alias("n_bullets"))
 
 
 def education_records(spark, sf_dir):
-    each = _sections(spark, sf_dir).select("resume_id", F.posexplode(extract.education(F.col("s"))).alias("pos", "e"))
+    each = _sections(spark, sf_dir).select("resume_id", F.posexplode_outer(extract.education(F.col("s"))).alias("pos", "e")).where("pos is not null")
     return each.select("resume_id", F.col("pos").cast("long").alias("pos"), "e.*")
 
 
@@ -193,12 +196,12 @@ def skills_fuzzy_union(spark, sf_dir):
 
 
 def experience_merge(spark, sf_dir):
-    each = profiles(spark, sf_dir).select("candidate_id", F.posexplode("experience").alias("pos", "e"))
+    each = profiles(spark, sf_dir).select("candidate_id", F.posexplode_outer("experience").alias("pos", "e")).where("pos is not null")
     return each.select("candidate_id", F.col("pos").cast("long").alias("pos"), "e.title", "e.company", "e.start_date", "e.end_date", "e.description", _text("e.bullets").alias("bullets"))
 
 
 def education_merge(spark, sf_dir):
-    each = profiles(spark, sf_dir).select("candidate_id", F.posexplode("education").alias("pos", "e"))
+    each = profiles(spark, sf_dir).select("candidate_id", F.posexplode_outer("education").alias("pos", "e")).where("pos is not null")
     return each.select("candidate_id", F.col("pos").cast("long").alias("pos"), "e.*")
 
 
@@ -221,7 +224,7 @@ def links_merge(spark, sf_dir):
 
 
 def provenance_long(spark, sf_dir):
-    each = profiles(spark, sf_dir).select("candidate_id", F.explode("provenance").alias("p"))
+    each = profiles(spark, sf_dir).select("candidate_id", F.explode_outer("provenance").alias("p")).where("p is not null")
     return each.select("candidate_id", "p.field", _text("p.sources", ",").alias("sources"), "p.winning_source", "p.confidence", "p.note")
 
 
