@@ -36,8 +36,8 @@ from rosterloom.llm.common import cut, slices, texts_of
 
 WORDS, THRESHOLD = 5, 80
 BANDS, ROWS = 64, 8
-#: Rounds of step 2 at most, partners of a node in each, and the pairs for a node at which step 3 takes over.
-ROUNDS, PARTNERS, FEW = 6, 3, 4
+#: Rounds of step 2 at most, partners of a node in each, and the pairs for a node (counted in every bucket they share) at which step 3 takes over.
+ROUNDS, PARTNERS, FEW = 3, 3, 100
 #: Wanted rows up to which identifiers are broadcast to the documents; more are joined by shuffle.
 MOST_BROADCAST = 500_000
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -256,19 +256,23 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for the nodes of ``edges`` (a, b): comp is the least node that
     is connected. Alternates large and small stars; each is an aggregation and a
     join on keys, and the edges shrink to stars in a logarithmic number of turns."""
-    now, before = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()), None
+    now = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
     while True:
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
-        if state == before or not state[0]:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
-        before = state
+        # large star: each node's larger neighbours go to its least one
         ways = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = ways.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = ways.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        small = large.groupBy("a").agg(F.min("b").alias("m"))
-        met = large.join(small, "a")
-        now = met.select("a", F.col("m").alias("b")).unionByName(met.select(F.col("b").alias("a"), F.col("m").alias("b"))).where("a != b").distinct()
-        now = cut(now)
+        large = ways.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        # small star: each node and its smaller neighbours go to its least one
+        small = large.groupBy("a").agg(F.min("b").alias("m"), F.max("b").alias("_most"))
+        met = large.join(small, "a").select("a", "b", "m", (F.col("m") != F.col("_most")).alias("_moves"))
+        each = F.explode(F.array(F.struct("a", F.col("m").alias("b"), "_moves"), F.struct(F.col("b").alias("a"), F.col("m").alias("b"), "_moves")))
+        now = cut(met.select(each.alias("e")).select("e.*").where("a != b").groupBy("a", "b").agg(F.max("_moves").alias("_moves")))
+        # where every node has one smaller neighbour and none of those has any, the edges are stars
+        ends = now.select(F.col("b").alias("_end")).distinct()
+        if now.where("_moves").isEmpty() and now.join(ends, F.col("a") == F.col("_end"), "left_semi").isEmpty():
+            roots = now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()
+            return cut(now.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(roots))
+        now = now.select("a", "b")
 
 
 def join_components(comps: DataFrame, edges: DataFrame) -> DataFrame:

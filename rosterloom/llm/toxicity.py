@@ -8,6 +8,7 @@ goes to the executors; each distinct word of a batch is scored once.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from array import array
 from collections import Counter
@@ -66,11 +67,22 @@ class Model:
 
     def __init__(self, weights: np.ndarray, bias: float):
         self.weights, self.bias = weights.astype(np.float32), float(bias)
+        #: scores of words met before
+        self.known: dict[str, float] = {}
 
     def score(self, texts: list[str]) -> np.ndarray:
-        doc, word, weight, distinct, sums = bag(texts)
-        each = Bags(distinct).mean(self.weights)
-        mean = np.bincount(doc, weight * each[word], minlength=len(texts)) / (sums + PRIOR) if len(word) else np.zeros(len(texts))
+        counts = [Counter(words_of(t)) for t in texts]
+        if len(self.known) > 600_000:
+            self.known.clear()
+        new = list(dict.fromkeys(w for of in counts for w in of if w not in self.known))
+        for a in range(0, len(new), 20_000):
+            some = new[a : a + 20_000]
+            self.known.update(zip(some, Bags(some).mean(self.weights).tolist()))
+        mean, of_word = np.zeros(len(texts)), self.known.__getitem__
+        for i, of in enumerate(counts):
+            if of:
+                weight = np.sqrt(np.fromiter(of.values(), np.float64, len(of)))
+                mean[i] = weight @ np.fromiter(map(of_word, of), np.float64, len(of)) / (weight.sum() + PRIOR)
         return 1 / (1 + np.exp(-np.clip(SCALE * mean + self.bias, -30, 30)))
 
 
@@ -132,9 +144,27 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     some = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_y")).where("_id is not null and _y is not null")
     some = some.where(crc_of_id("_id") % 3 != 1).orderBy(F.xxhash64(F.lit("tox"), "_id"), "_id", "_y").limit(sample)
     rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(some), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "_y")
-    found = rows.toArrow().to_pydict()
-    order = sorted(range(len(found["_y"])), key=lambda i: (found["doc_id"][i], found["text"][i], found["_y"][i]))
-    return train([found["text"][i] for i in order], [found["_y"][i] for i in order])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [(i, t, y) for b in batches for i, t, y in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "_y")))]
+        found.sort()
+        model = train([t for _, t, _ in found], [y for *_, y in found])
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias])], ["weights", "bias"])
+
+    # the sample is bounded: one task trains on it, and only the model comes to the driver
+    made = rows.repartition(1).mapInArrow(run, "weights binary, bias double").first()
+    return Model(np.frombuffer(made["weights"], np.float32), made["bias"]) if made else train([], [])
+
+
+_OWN: dict[str, Model] = {}
+
+
+def _model(name: str, sent) -> Model:
+    """One for each Python worker, over all tasks that it runs."""
+    if name not in _OWN:
+        _OWN.clear()
+        _OWN[name] = Model(*sent.value)
+    return _OWN[name]
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
@@ -142,11 +172,12 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     texts get the score of an empty bag, which is the model's bias; columns of
     the two names are replaced, others pass through."""
     sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+    name = uuid.uuid4().hex
     rest = docs.drop("score", "predicted")
     schema = T.StructType([*rest.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(*sent.value)
+        own = _model(name, sent)
         for batch in slices(batches, "text"):
             got = own.score(texts_of(batch))
             columns = [*batch.columns, pa.array(got, pa.float64()), pa.array((got >= threshold).astype(np.int32))]
