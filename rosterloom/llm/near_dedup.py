@@ -10,7 +10,8 @@ Equal sets are one node. Within a bucket nodes are never paired each with each:
 
 1. every node is checked against the least node it shares any bucket with;
 2. in buckets that still hold more than one component, nodes are checked against
-   a few members of another component, chosen anew in each round;
+   a hub of another component: first the member that shares most buckets, then
+   others, chosen anew in each round;
 3. when few pairs across components are left, all of them are checked.
 
 A pair within one component needs no check, since it can't change the result; so
@@ -37,7 +38,7 @@ from rosterloom.llm.common import cut, slices, texts_of
 WORDS, THRESHOLD = 5, 80
 BANDS, ROWS = 64, 8
 #: Rounds of step 2 at most, partners of a node in each, and the pairs for a node (counted in every bucket they share) at which step 3 takes over.
-ROUNDS, PARTNERS, FEW = 3, 3, 100
+ROUNDS, PARTNERS, FEW = 3, 3, 64
 #: Wanted rows up to which identifiers are broadcast to the documents; more are joined by shuffle.
 MOST_BROADCAST = 500_000
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -215,7 +216,7 @@ class Groups:
         tested, comps = first, components(first.where("yes").select("a", "b"))
         for turn in range(ROUNDS + 1):
             labelled = shared.join(comps, "node", "left").select("node", "n", "keys", F.coalesce("comp", "node").alias("comp"))
-            each = labelled.select("node", "n", "comp", F.explode("keys").alias("key"))
+            each = labelled.select("node", "n", "comp", F.size("keys").alias("degree"), F.explode("keys").alias("key"))
             mixed = each.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo < _hi").select("key")
             left = cut(each.join(mixed, "key"))
             per = left.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("p"))
@@ -236,12 +237,13 @@ class Groups:
         return F.expr(f"100 * least({a}, {b}) >= {self.threshold} * greatest({a}, {b})")
 
     def _some(self, left: DataFrame, turn: int) -> DataFrame:
-        """Up to PARTNERS pairs for each node, with members of other components."""
-        at = F.struct("comp", F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n")
-        ends = left.groupBy("key").agg(F.min(at).alias("_lo"), F.max(at).alias("_hi"))
-        met = left.join(ends, "key").withColumn("_o", F.when(F.col("comp") != F.col("_lo.comp"), F.col("_lo")).otherwise(F.col("_hi")))
-        met = met.where(self._fits("n", "_o.n"))
-        chosen = met.groupBy("node").agg(F.collect_set(F.struct(F.xxhash64("_o.node", "node", F.lit(turn)).alias("h"), F.col("_o.node").alias("node"))).alias("_os"))
+        """Up to PARTNERS pairs for each node, with its buckets' hubs that are in other
+        components."""
+        # the node that shares most buckets stands in the middle of its group: all meet it first, then random ones
+        rank = F.col("degree") if turn == 0 else F.xxhash64("node", F.lit(turn)) % (1 << 20)
+        ends = left.groupBy("key").agg(F.max(F.struct(rank.cast("long").alias("rank"), "node", "n", "comp")).alias("_o"))
+        met = left.join(ends, "key").where("comp != _o.comp").where(self._fits("n", "_o.n"))
+        chosen = met.groupBy("node").agg(F.collect_set(F.struct((-F.col("_o.rank")).alias("h"), F.col("_o.node").alias("node"))).alias("_os"))
         each = chosen.select("node", F.explode(F.slice(F.array_sort("_os"), 1, PARTNERS)).alias("_o"))
         return each.select(F.greatest("node", "_o.node").alias("a"), F.least("node", "_o.node").alias("b")).distinct()
 
