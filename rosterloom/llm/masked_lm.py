@@ -59,13 +59,13 @@ class Vocabulary:
         self.known[word] = i
         return i
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         low = text.lower()
         split = low.split() if low.isascii() and not _ODD.search(low) else [w for w in _BLANK.split(low) if w]
         try:
-            return list(map(self.known.__getitem__, split))
+            return np.fromiter(map(self.known.__getitem__, split), np.int32, len(split))
         except KeyError:
-            return [self.known[w] if w in self.known else self._of(w) for w in split]
+            return np.fromiter((self.known[w] if w in self.known else self._of(w) for w in split), np.int32, len(split))
 
 
 _ODD = re.compile("[\x1c-\x1f]")
@@ -114,13 +114,22 @@ class Network:
             total += self.vector[around[:, k]] * self.place[k]
         return np.tanh(total, out=total)
 
-    def log_probs(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
-        h = self.hidden(around)
-        logit = h @ self.out.T + self.bias
-        own = logit[np.arange(len(target)), target]
-        top = logit.max(1)
-        logit -= top[:, None]
-        return own - top - np.log(np.exp(logit, out=logit).sum(1))
+    def log_probs(self, around: np.ndarray, target: np.ndarray, part: int = 512) -> np.ndarray:
+        """Of each target given what stands around, in parts that fit a core's cache."""
+        got = np.zeros(len(target), np.float32)
+        # hidden values are within 1, so this bounds all logits; small ones need no shift
+        safe = float((np.abs(self.out).sum(1) + np.abs(self.bias)).max()) < 60
+        for a in range(0, len(target), part):
+            h, own = self.hidden(around[a : a + part]), target[a : a + part]
+            logit = h @ self.out.T
+            logit += self.bias
+            top = np.zeros(len(own), np.float32)
+            if not safe:
+                top = logit.max(1)
+                logit -= top[:, None]
+            got[a : a + part] = logit[np.arange(len(own)), own]
+            got[a : a + part] -= np.log(np.exp(logit, out=logit).sum(1))
+        return got
 
     def step(self, around: np.ndarray, target: np.ndarray, sums: list[np.ndarray], rate: float) -> None:
         """One Adagrad step on the mean loss of a batch."""
@@ -141,18 +150,13 @@ class Network:
             w -= rate * g / np.sqrt(s + 1e-8)
 
 
-def windows(ids: list[list[int]], edge: int, some: slice = slice(None), side: int = SIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows(ids: list[np.ndarray], edge: int, some: slice = slice(None), side: int = SIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The places (or ``some`` of them) of all texts: the tokens around, the token,
     and the text's number.
     Texts are parted by enough edge tokens that no window reaches over."""
-    gap = [edge] * side
-    flat, owner = [*gap], [-1] * side
-    for i, x in enumerate(ids):
-        flat += x
-        flat += gap
-        owner += [i] * len(x)
-        owner += [-1] * side
-    flat, owner = np.array(flat, np.int64), np.array(owner, np.int64)
+    gap, outside = np.full(side, edge, np.int32), np.full(side, -1, np.int32)
+    flat = np.concatenate([gap, *(p for x in ids for p in (np.asarray(x, np.int32), gap))])
+    owner = np.concatenate([outside, *(p for i, x in enumerate(ids) for p in (np.full(len(x), i, np.int32), outside))])
     at = np.flatnonzero(owner >= 0)[some]
     offsets = np.array([*range(-side, 0), *range(1, side + 1)])
     return flat[at[:, None] + offsets], flat[at], owner[at]
@@ -235,10 +239,7 @@ def score(docs: DataFrame, model: tuple[Vocabulary, np.ndarray | None]) -> DataF
         for batch in slices(batches, "text", 1 << 20):
             ids = [words.encode(t) for t in texts_of(batch)]
             around, target, owner = windows(ids, words.size - 1)
-            got = np.zeros(len(target))
-            for a in range(0, len(target), 8192):
-                part = slice(a, a + 8192)
-                got[part] = net.log_probs(around[part], target[part]) + words.share[target[part]]
+            got = net.log_probs(around, target) + words.share[target]
             sums = np.bincount(owner, got, minlength=len(ids))
             n = np.array([len(x) for x in ids], np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n), pa.array(sums), pa.array(sums / np.maximum(n, 1))], schema.names)
