@@ -108,7 +108,7 @@ class Encoder:
     encoded once, and words with the same parts share the parts' ids. Stores of
     known words and parts are emptied when they are full."""
 
-    def __init__(self, path: str, words: int = 500_000, parts: int = 1_200_000):
+    def __init__(self, path: str, words: int = 900_000, parts: int = 1_000_000):
         self.tokenizer, self.most, self.most_parts = _tokenizer(path), words, parts
         self.parts: dict[str, tuple[int, ...]] = {}
         self._empty()
@@ -118,32 +118,35 @@ class Encoder:
         self.ids, self.ends = array("I"), array("q", [0])
 
     def _encode_parts(self, parts: list[str]) -> None:
-        if len(self.parts) + len(parts) > self.most_parts:
-            self.parts = {}
         for i in range(0, len(parts), 4096):
             some = parts[i : i + 4096]
             self.parts.update(zip(some, (tuple(e.ids) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False))))
 
     def _learn(self, words: list[str]) -> None:
         split = [_parts(w) for w in words]
-        need = dict.fromkeys(p for ps in split for p in ps)
-        new = [p for p in need if p not in self.parts]
-        if len(self.parts) + len(new) > self.most_parts:
-            new = list(need)
+        parts = self.parts
+        new = [p for p in {p for ps in split for p in ps} if p not in parts]
+        if len(parts) + len(new) > self.most_parts:
+            self.parts = parts = {}
+            new = [*{p for ps in split for p in ps}]
         self._encode_parts(new)
+        ids, ends, known = self.ids, self.ends, self.known
+        number = len(ends) - 1
         for word, ps in zip(words, split):
             for p in ps:
-                self.ids.extend(self.parts[p])
-            self.known[word] = len(self.ends) - 1
-            self.ends.append(len(self.ids))
+                ids.extend(parts[p])
+            known[word] = number
+            number += 1
+            ends.append(len(ids))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, with id 0 after them."""
         split = [_words(t) for t in texts]
-        new = list(dict.fromkeys(w for ws in split for w in ws if w not in self.known))
+        words = set().union(*split)
+        new = [w for w in words if w not in self.known]
         if new and len(self.known) + len(new) > self.most:
             self._empty()
-            new = list(dict.fromkeys(w for ws in split for w in ws))
+            new = [*words]
         self._learn(new)
         ids, bounds = np.array(self.ids, np.uint32), np.array(self.ends, np.int64)
         out = []
@@ -170,6 +173,12 @@ _ODD, _BLANK = re.compile("[\x1c-\x1f]"), re.compile("[ \t\n\x0b\x0c\r]+")
 
 
 def _parts(word: str) -> list[str]:
+    if word.isascii():
+        # most words are letters with a mark after them
+        if word.isalpha():
+            return [word.lower()]
+        if word[:-1].isalpha() and word[-1] in ".,":
+            return [word[:-1].lower(), word[-1]]
     try:
         word.encode("latin-1")
     except UnicodeEncodeError:
