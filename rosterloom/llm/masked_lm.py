@@ -4,9 +4,15 @@ The network sees the tokens on both sides of a place, not the one that stands
 there, and gives each token of the vocabulary a probability for it. A document's
 score is the sum of the logarithms over all its places.
 
-The vocabulary comes from counts over the whole corpus: the most frequent words
-are tokens of their own, all others share spelling buckets. The network is
-trained in numpy where the documents are: every task masks a part of the places
+Counts of all words of the corpus stay in a distributed table. A word's
+probability has two levels: the network gives its class (the most frequent words
+are classes of their own, all others share spelling buckets), and the counts give
+the word within its class, so that every word is predicted as itself; one count
+in each class is left for words that the corpus doesn't hold. Around a place, all
+words of ``LEAST`` occurrences or more have vectors of their own, a number that
+grows with the corpus; rarer words share their bucket's.
+
+The network is trained in numpy where the documents are: every task masks a part of the places
 of each of its documents and trains a copy; the copies are averaged, weighted by
 places, in a tree of aggregations, and a second round goes on from the average.
 """
@@ -16,35 +22,69 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterloom.llm.common import slices, texts_of
+from rosterloom.llm.common import cut, slices, texts_of
 
 WORDS, BUCKETS, WIDTH = 256, 64, 16
 SIDE = 3
+#: Occurrences from which a word has a vector of its own.
+LEAST = 2000
 #: One place in so many is masked for training, in each round at other places.
 EVERY, ROUNDS = 16, 2
 BATCH, RATE = 2048, 0.05
 #: Copies that one step of averaging takes together.
-FAN = 64
+FAN = 16
 _BLANK = re.compile(r"[\x20\x09-\x0D]+")
 
 
+_ODD = re.compile("[\x1c-\x1f]")
+
+
+def split(text: str) -> list[str]:
+    low = text.lower()
+    return low.split() if low.isascii() and not _ODD.search(low) else [w for w in _BLANK.split(low) if w]
+
+
+def _bucket(word: str, buckets: int) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % buckets
+
+
+def _hash(word: str) -> int:
+    """As Spark's xxhash64 of the word."""
+    got = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 42)
+    return got - (1 << 64) if got >> 63 else got
+
+
 class Vocabulary:
-    def __init__(self, words: list[str], bucket_sizes: list[int]):
+    """``words``, the most frequent first, are tokens of their own and the first
+    ``classes`` of them classes of their own; ``bucket_sizes`` are the occurrences
+    of all other words."""
+
+    def __init__(self, words: list[str], bucket_sizes: list[int], counts: list[int] | None = None, classes: int = WORDS):
         self.number = {w: i for i, w in enumerate(words)}
         self.words, self.buckets = len(words), len(bucket_sizes)
         #: the last token stands for the places before and after a text
         self.size = self.words + self.buckets + 1
-        #: what a bucket's probability is divided by: the corpus's words in it
-        self.share = np.concatenate([np.zeros(self.words), -np.log(np.maximum(bucket_sizes, 1)), [0.0]]).astype(np.float32)
+        own = min(self.words, classes)
+        self.classes = own + self.buckets + 1
+        #: of each token
+        self.class_of = np.array([*range(own), *(own + _bucket(w, self.buckets) for w in words[own:]), *range(own, self.classes)], np.int32)
+        whole = np.log(np.asarray(bucket_sizes, float) + 1)
+        #: log probability of each token in its class; a rare word's count comes on top
+        self.share = np.zeros(self.size)
+        self.share[own:-1] -= whole[self.class_of[own:-1] - own]
+        if counts is not None:
+            self.share[own : self.words] += np.log(counts[own:])
         self.known: dict[str, int] = {}
 
     def __getstate__(self):
@@ -53,47 +93,64 @@ class Vocabulary:
     def _of(self, word: str) -> int:
         i = self.number.get(word)
         if i is None:
-            i = self.words + zlib.crc32(word.encode("utf-8", "surrogatepass")) % self.buckets
+            i = self.words + _bucket(word, self.buckets)
         if len(self.known) > 500_000:
             self.known.clear()
         self.known[word] = i
         return i
 
-    def encode(self, text: str) -> np.ndarray:
-        low = text.lower()
-        split = low.split() if low.isascii() and not _ODD.search(low) else [w for w in _BLANK.split(low) if w]
+    def numbers(self, words: list[str]) -> np.ndarray:
         try:
-            return np.fromiter(map(self.known.__getitem__, split), np.int32, len(split))
+            return np.fromiter(map(self.known.__getitem__, words), np.int32, len(words))
         except KeyError:
-            return np.fromiter((self.known[w] if w in self.known else self._of(w) for w in split), np.int32, len(split))
-
+            return np.fromiter((self.known[w] if w in self.known else self._of(w) for w in words), np.int32, len(words))
 
-_ODD = re.compile("[\x1c-\x1f]")
-
-
-def vocabulary(docs: DataFrame, words: int = WORDS, buckets: int = BUCKETS) -> Vocabulary:
-    """From the counts of all words of all documents. Only the frequent words and
-    one number for each bucket reach the driver."""
-    each = docs.select(F.explode(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")).alias("w")).where("w != ''")
-    counts = each.groupBy("w").agg(F.count(F.lit(1)).alias("n")).persist()
-    top = [r[0] for r in counts.orderBy(F.desc("n"), "w").limit(words).collect()]
-    sizes = {r[0]: r[1] for r in counts.groupBy((F.crc32(F.col("w").cast("binary")) % buckets).alias("b")).count().collect()}
-    counts.unpersist()
-    frequent = np.bincount([zlib.crc32(w.encode("utf-8", "surrogatepass")) % buckets for w in top], minlength=buckets) if top else np.zeros(buckets, int)
-    return Vocabulary(top, [int(sizes.get(b, 0) - frequent[b]) for b in range(buckets)])
+    def encode(self, text: str) -> np.ndarray:
+        return self.numbers(split(text))
+
+    def with_rare(self, text: str) -> tuple[np.ndarray, list[int]]:
+        """The tokens, and the hashes of the words that aren't tokens of their own."""
+        words = split(text)
+        ids = self.numbers(words)
+        return ids, [_hash(words[i]) for i in np.flatnonzero(ids >= self.words).tolist()]
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text"):
+        of = Counter()
+        for text in texts_of(batch):
+            of.update(split(text))
+        yield pa.RecordBatch.from_arrays([pa.array(list(of), pa.string()), pa.array(list(of.values()), pa.int64())], ["w", "n"])
+
+
+def vocabulary(docs: DataFrame, words: int = WORDS, buckets: int = BUCKETS, least: int = LEAST) -> tuple[Vocabulary, DataFrame]:
+    """From the counts of all words of all documents, with a table (h, n) of the
+    hashes and counts of those that aren't tokens. Only the frequent words and one
+    number for each bucket reach the driver."""
+    sums = docs.mapInArrow(_counted, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    frequent = F.when(F.col("n") >= least, F.col("w"))
+    counts = cut(sums.select(F.xxhash64("w").alias("h"), "n", (F.crc32(F.col("w").cast("binary")) % buckets).alias("b"), frequent.alias("w")))
+    top = [(r["w"], r["n"]) for r in counts.where("w is not null").select("w", "n").collect()]
+    top.sort(key=lambda x: (-x[1], x[0]))
+    sizes = {r[0]: r[1] for r in counts.groupBy("b").agg(F.sum("n")).collect()}
+    for w, n in top[:words]:
+        sizes[_bucket(w, buckets)] -= n
+    made = Vocabulary([w for w, _ in top], [int(sizes.get(b, 0)) for b in range(buckets)], [n for _, n in top], words)
+    return made, counts.where("w is null").select("h", "n")
 
 
 class Network:
     """Log-bilinear window network with one hidden layer:
-    softmax(out @ tanh(sum over sides of place[side] * vector[token]) + bias)."""
+    softmax(out @ tanh(sum over sides of place[side] * vector[token]) + bias),
+    over ``classes`` (default: all tokens)."""
 
-    def __init__(self, size: int, width: int = WIDTH, side: int = SIDE, seed: int = 5):
+    def __init__(self, size: int, width: int = WIDTH, side: int = SIDE, seed: int = 5, classes: int | None = None):
         rng = np.random.default_rng(seed)
         self.size, self.width, self.side = size, width, side
         self.vector = rng.normal(0, 0.3, (size, width)).astype(np.float32)
         self.place = rng.normal(1.0 / (2 * side), 0.1, (2 * side, width)).astype(np.float32)
-        self.out = rng.normal(0, 0.1, (size, width)).astype(np.float32)
-        self.bias = np.zeros(size, np.float32)
+        self.out = rng.normal(0, 0.1, (classes or size, width)).astype(np.float32)
+        self.bias = np.zeros(classes or size, np.float32)
 
     def parameters(self) -> list[np.ndarray]:
         return [self.vector, self.place, self.out, self.bias]
@@ -114,11 +171,14 @@ class Network:
             total += self.vector[around[:, k]] * self.place[k]
         return np.tanh(total, out=total)
 
+    def _safe(self) -> bool:
+        """Hidden values are within 1, so this bounds all logits; small ones need no shift."""
+        return float((np.abs(self.out).sum(1) + np.abs(self.bias)).max()) < 60
+
     def log_probs(self, around: np.ndarray, target: np.ndarray, part: int = 512) -> np.ndarray:
         """Of each target given what stands around, in parts that fit a core's cache."""
         got = np.zeros(len(target), np.float32)
-        # hidden values are within 1, so this bounds all logits; small ones need no shift
-        safe = float((np.abs(self.out).sum(1) + np.abs(self.bias)).max()) < 60
+        safe = self._safe()
         for a in range(0, len(target), part):
             h, own = self.hidden(around[a : a + part]), target[a : a + part]
             logit = h @ self.out.T
@@ -131,33 +191,52 @@ class Network:
             got[a : a + part] -= np.log(np.exp(logit, out=logit).sum(1))
         return got
 
-    def step(self, around: np.ndarray, target: np.ndarray, sums: list[np.ndarray], rate: float) -> None:
+    def step(self, around: np.ndarray, target: np.ndarray, sums: list[np.ndarray], rate: float, part: int = 2048) -> None:
         """One Adagrad step on the mean loss of a batch."""
-        n, h = len(target), self.hidden(around)
-        p = h @ self.out.T + self.bias
-        p -= p.max(1, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(1, keepdims=True)
-        p[np.arange(n), target] -= 1
-        p /= n
-        down = (p @ self.out) * (1 - h * h)
-        vector, place = np.zeros_like(self.vector), np.zeros_like(self.place)
+        n, h, safe = len(target), self.hidden(around), self._safe()
+        down, out, bias = np.zeros_like(h), np.zeros_like(self.out), np.zeros_like(self.bias)
+        for a in range(0, n, part):
+            some, own = h[a : a + part], target[a : a + part]
+            p = some @ self.out.T
+            p += self.bias
+            if not safe:
+                p -= p.max(1, keepdims=True)
+            np.exp(p, out=p)
+            p *= (1 / (n * p.sum(1)))[:, None]
+            p[np.arange(len(own)), own] -= np.float32(1 / n)
+            down[a : a + part] = p @ self.out
+            out += p.T @ some
+            bias += p.sum(0)
+        down *= 1 - h * h
+        place, parts = np.zeros_like(self.place), np.empty((2 * self.side, n, self.width), np.float32)
         for k in range(2 * self.side):
-            place[k] = (down * self.vector[around[:, k]]).sum(0)
-            np.add.at(vector, around[:, k], down * self.place[k])
-        for w, g, s in zip(self.parameters(), (vector, place, p.T @ h, p.sum(0)), sums):
+            place[k] = np.einsum("ij,ij->j", down, self.vector[around[:, k]])
+            np.multiply(down, self.place[k], out=parts[k])
+        # vectors that stand nowhere around have no gradient and stay
+        flat = around.T.ravel()
+        order = np.argsort(flat)
+        flat = flat[order]
+        starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+        used, vector = flat[starts], np.add.reduceat(parts.reshape(-1, self.width)[order], starts)
+        sums[0][used] += vector * vector
+        self.vector[used] -= rate * vector / np.sqrt(sums[0][used] + 1e-8)
+        for w, g, s in zip(self.parameters()[1:], (place, out, bias), sums[1:]):
             s += g * g
             w -= rate * g / np.sqrt(s + 1e-8)
 
 
-def windows(ids: list[np.ndarray], edge: int, some: slice = slice(None), side: int = SIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The places (or ``some`` of them) of all texts: the tokens around, the token,
-    and the text's number.
+def windows(ids: list[np.ndarray], edge: int, turn: int = 0, turns: int = 1, side: int = SIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places of all texts (with ``turns``, every ``turns``-th of each text from
+    the ``turn``-th on): the tokens around, the token, and the text's number.
     Texts are parted by enough edge tokens that no window reaches over."""
     gap, outside = np.full(side, edge, np.int32), np.full(side, -1, np.int32)
     flat = np.concatenate([gap, *(p for x in ids for p in (np.asarray(x, np.int32), gap))])
     owner = np.concatenate([outside, *(p for i, x in enumerate(ids) for p in (np.full(len(x), i, np.int32), outside))])
-    at = np.flatnonzero(owner >= 0)[some]
+    at = np.flatnonzero(owner >= 0)
+    if turns > 1:
+        sizes = np.array([len(x) for x in ids], np.int64)
+        first = np.cumsum(sizes + side) - sizes
+        at = at[(at - first[owner[at]]) % turns == turn]
     offsets = np.array([*range(-side, 0), *range(1, side + 1)])
     return flat[at[:, None] + offsets], flat[at], owner[at]
 
@@ -166,7 +245,7 @@ def _train(words: Vocabulary, flat: np.ndarray | None, turn: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        net = Network(words.size)
+        net = Network(words.size, classes=words.classes)
         if flat is not None:
             net.load(flat)
         sums = [np.full_like(p, 1e-4) for p in net.parameters()]
@@ -179,11 +258,10 @@ def _train(words: Vocabulary, flat: np.ndarray | None, turn: int):
                 net.step(around[a : a + BATCH], target[a : a + BATCH], sums, RATE)
             return [(around[n:], target[n:])] if n < len(target) else []
 
-        for batch in slices(batches, "text", 1 << 20):
-            # masked places: every EVERY-th, from a start that the round sets
-            masked = slice(turn * (EVERY // ROUNDS), None, EVERY)
-            around, target, _ = windows([words.encode(t) for t in texts_of(batch)], words.size - 1, masked)
-            held.append((around, target))
+        for batch in slices(batches, "ids", 1 << 20):
+            ids = [np.frombuffer(x, np.int32) for x in batch.column("ids").to_pylist()]
+            around, target, _ = windows(ids, words.size - 1, turn * (EVERY // ROUNDS), EVERY)
+            held.append((around, words.class_of[target]))
             places += len(target)
             if sum(len(t) for _, t in held) >= 4 * BATCH:
                 held = learn(False)
@@ -211,37 +289,58 @@ def average(copies: DataFrame, parts: int) -> np.ndarray | None:
     return (sum(np.frombuffer(r["sums"], np.float64) for r in rows) / sum(r["places"] for r in rows)).astype(np.float32) if rows else None
 
 
-def fit(docs: DataFrame) -> tuple[Vocabulary, np.ndarray | None]:
-    """Vocabulary and parameters from all texts of ``docs``; None without words."""
+def _encoded(words: Vocabulary):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            yield pa.RecordBatch.from_arrays([pa.array([words.encode(t).tobytes() for t in texts_of(batch)], pa.binary())], ["ids"])
+
+    return run
+
+
+def fit(docs: DataFrame) -> tuple[Vocabulary, DataFrame, np.ndarray | None]:
+    """Vocabulary, counts of rare words and parameters from all texts of ``docs``;
+    None without words."""
     texts = docs.select("text").where("text is not null")
-    words, flat = vocabulary(texts), None
-    parts = texts.rdd.getNumPartitions()
+    (words, rare), flat = vocabulary(texts), None
+    ids = cut(texts.mapInArrow(_encoded(words), "ids binary"))
+    parts = ids.rdd.getNumPartitions()
     for turn in range(ROUNDS):
-        copies = texts.mapInArrow(_train(words, flat, turn), "part long, places long, sums binary")
+        copies = ids.mapInArrow(_train(words, flat, turn), "part long, places long, sums binary")
         got = average(copies, parts)
         flat = flat if got is None else got
-    return words, flat
+    return words, rare, flat
 
 
-def score(docs: DataFrame, model: tuple[Vocabulary, np.ndarray | None]) -> DataFrame:
+def score(docs: DataFrame, model: tuple[Vocabulary, DataFrame, np.ndarray | None], without: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` with ``n_tokens long``, ``log_likelihood double`` (the sum over all
     places) and ``mean_log_prob double``. A null text is empty; an empty one has
-    0 tokens and zeros. Columns of these names are replaced, others pass through."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    0 tokens and zeros. Columns of these names are replaced, others pass through
+    but those in ``without``."""
+    words, counts, flat = model
+    sent = docs.sparkSession.sparkContext.broadcast((words, flat))
     rest = docs.drop("n_tokens", "log_likelihood", "mean_log_prob")
-    schema = T.StructType([*rest.schema.fields, T.StructField("n_tokens", T.LongType()), T.StructField("log_likelihood", T.DoubleType()), T.StructField("mean_log_prob", T.DoubleType())])
+    kept = [f for f in rest.schema.fields if f.name not in without]
+    # passed columns are numbered, so that their names can't clash with those used here
+    own = "n long, sum double, rare array<long>"
+    schema = T.StructType([*(T.StructField(f"c{i}", f.dataType) for i, f in enumerate(kept)), *T._parse_datatype_string(own).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, flat = sent.value
-        net = Network(words.size)
+        net = Network(words.size, classes=words.classes)
         if flat is not None:
             net.load(flat)
         for batch in slices(batches, "text", 1 << 20):
-            ids = [words.encode(t) for t in texts_of(batch)]
+            ids, rare = zip(*(words.with_rare(t) for t in texts_of(batch)))
             around, target, owner = windows(ids, words.size - 1)
-            got = net.log_probs(around, target) + words.share[target]
+            got = net.log_probs(around, words.class_of[target]) + words.share[target]
             sums = np.bincount(owner, got, minlength=len(ids))
             n = np.array([len(x) for x in ids], np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n), pa.array(sums), pa.array(sums / np.maximum(n, 1))], schema.names)
-
-    return rest.mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(n), pa.array(sums), pa.array(rare, pa.list_(pa.int64()))], schema.names)
+
+    made = cut(rest.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()))
+    # a rare word has fewer than LEAST rows in the corpus, so no key is heavy
+    met = made.select("row", F.explode("rare").alias("h")).join(counts, "h")
+    more = met.groupBy("row").agg(F.sum(F.log(F.col("n").cast("double"))).alias("more"))
+    total = F.col("sum") + F.coalesce("more", F.lit(0.0))
+    columns = [F.col(f"c{i}").alias(f.name) for i, f in enumerate(kept)]
+    return made.drop("rare").join(more, "row", "left").select(*columns, F.col("n").alias("n_tokens"), total.alias("log_likelihood"), (total / F.greatest("n", F.lit(1))).alias("mean_log_prob"))

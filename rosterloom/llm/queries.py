@@ -39,7 +39,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return masked_lm.score(docs, masked_lm.fit(docs)).drop("text")
+    return masked_lm.score(docs, masked_lm.fit(docs), without=("text",))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -239,6 +239,23 @@ def test_masked_lm_of_odd_rows(docs, none):
     assert masked_lm.score(none, masked_lm.fit(none)).count() == 0
 
 
+def test_every_word_is_scored_as_itself(spark):
+    """Words of one bucket differ by their own counts in the corpus."""
+    rare = [w for w in (f"rare{i}" for i in range(2000)) if zlib.crc32(w.encode()) % masked_lm.BUCKETS == 3][:3]
+    often = [f"w{i:03}" for i in range(masked_lm.WORDS)]
+    rows = [(i, " ".join(often)) for i in range(20)] + [(100 + i, rare[0]) for i in range(9)] + [(200, rare[1])]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    words, counts = masked_lm.vocabulary(table.select("text"), least=15)
+    assert words.words == masked_lm.WORDS and sorted(r["n"] for r in counts.collect()) == [1, 9]
+    # a lower bound gives more vectors
+    assert masked_lm.vocabulary(table.select("text"), least=5)[0].words == masked_lm.WORDS + 1
+    asked = spark.createDataFrame([(i, w) for i, w in enumerate(rare)], "doc_id long, text string")
+    for least in (15, 5):
+        words, counts = masked_lm.vocabulary(table.select("text"), least=least)
+        got = {r["doc_id"]: r["log_likelihood"] for r in masked_lm.score(asked, (words, counts, None)).collect()}
+        assert got[0] - got[1] == pytest.approx(np.log(9), abs=1e-5) and got[2] == pytest.approx(got[1])
+
+
 def test_copies_are_averaged_in_a_tree(spark):
     data = [(i, 2, np.full(3, 2.0 * i).tobytes()) for i in range(150)]
     made = spark.createDataFrame(data, "part long, places long, sums binary")
