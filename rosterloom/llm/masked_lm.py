@@ -12,9 +12,10 @@ in each class is left for words that the corpus doesn't hold. Around a place, al
 words of ``LEAST`` occurrences or more have vectors of their own, a number that
 grows with the corpus; rarer words share their bucket's.
 
-The network is trained in numpy where the documents are: every task masks a part of the places
-of each of its documents and trains a copy; the copies are averaged, weighted by
-places, in a tree of aggregations, and a second round goes on from the average.
+The network is trained in numpy where the documents are: every task masks every
+``ROUNDS``-th place of each of its documents and trains a copy; the copies are
+averaged, weighted by places, in a tree of aggregations, and the next round goes
+on from the average with the next places, until each place has been a target once.
 """
 
 from __future__ import annotations
@@ -39,8 +40,8 @@ WORDS, BUCKETS, WIDTH = 256, 64, 16
 SIDE = 3
 #: Occurrences from which a word has a vector of its own.
 LEAST = 2000
-#: One place in so many is masked for training, in each round at other places.
-EVERY, ROUNDS = 16, 2
+#: One place in so many is masked in each round, in each round others.
+ROUNDS = 2
 BATCH, RATE = 2048, 0.05
 #: Copies that one step of averaging takes together.
 FAN = 16
@@ -260,7 +261,7 @@ def _train(words: Vocabulary, flat: np.ndarray | None, turn: int):
 
         for batch in slices(batches, "ids", 1 << 20):
             ids = [np.frombuffer(x, np.int32) for x in batch.column("ids").to_pylist()]
-            around, target, _ = windows(ids, words.size - 1, turn * (EVERY // ROUNDS), EVERY)
+            around, target, _ = windows(ids, words.size - 1, turn, ROUNDS)
             held.append((around, words.class_of[target]))
             places += len(target)
             if sum(len(t) for _, t in held) >= 4 * BATCH:

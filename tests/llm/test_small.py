@@ -217,5 +217,11 @@ def test_windows_do_not_cross_texts():
     assert around[2].tolist() == [9] * 6 and around[0].tolist() == [9, 9, 9, 2, 9, 9]
 
 
+def test_every_place_is_a_target_once():
+    ids = [[1], [], [2, 3], [4, 5, 6, 7, 8], [9]]
+    found = [(o, t) for turn in range(masked_lm.ROUNDS) for _, target, owner in [masked_lm.windows(ids, 0, turn, masked_lm.ROUNDS)] for t, o in zip(target.tolist(), owner.tolist())]
+    assert sorted(found) == [(i, t) for i, x in enumerate(ids) for t in x]
+
+
 def test_ids_are_those_of_the_contract():
     assert zlib.crc32(b"17") % 4 == int(zlib.crc32(str(17).encode()) % 4)
