@@ -26,6 +26,7 @@ _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noframes xmp".split())
+_END = {name: re.compile(rf"</{name}(?=[\s>/])", re.I) for name in RAW}
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 #: Containers that may hold the main text.
 HOLDER = frozenset("article main section div td body center table".split())
@@ -71,18 +72,21 @@ def _walk(page: str) -> Iterator[tuple[Node, str | None]]:
     """(element, text) for each run of text and (element, None) for each border of a block."""
     top = Node("", "", False, False, None)
     stack, skip = [top], None
-    for m in _TOKEN.finditer(page):
-        token = m.group()
+    at = 0
+    while at < len(page):
+        if skip is not None:
+            # what a raw element holds is no markup: only its own end counts
+            end = _END[skip].search(page, at)
+            skip = None
+            if not end:
+                break
+            at = end.start()
+        m = _TOKEN.match(page, at)
+        token, at = m.group(), m.end()
         if token[0] != "<" or token == "<":
-            if skip is None:
-                yield stack[-1], token
+            yield stack[-1], token
             continue
         tag = _TAG.match(token)
-        if skip is not None:
-            # within a raw element only its own end counts
-            if tag and tag[1] and tag[2].lower() == skip:
-                skip = None
-            continue
         if not tag or token[-1] != ">":
             continue
         name = tag[2].lower()

@@ -153,6 +153,11 @@ def test_main_text():
     assert html_text.containers(PAGE)[0][0] == "/html/body/article"
 
 
+@pytest.mark.parametrize("raw", ["<script>for(var i=0;i<n;i++){x()}</script>", "<SCRIPT>if(a<b&&c>'\"d)</Script >", "<style>a<b{}</style>", "<script>'</scripts>'<c</script\n>", "<textarea><p x=\"</textarea>", "<title>a<b</title>"])
+def test_raw_elements_end_at_their_own_tag(raw):
+    assert html_text.extract(f"<html><head>{raw}</head><body><article><p>one two</p>{raw}<p>three</p></article></body></html>") == "one two\n\nthree"
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.text(alphabet="<>/pdiv \"'=&;!-ab", max_size=60))
 def test_any_page_is_read(page):
