@@ -2,7 +2,8 @@
 one space, no punctuation ("GPL-2.0+" reads "gpl 2 0").
 
 A line is ``priority label keyword: regex``. A rule is tried only where its
-keyword occurs, its first word as a whole word; a lower priority number is a stronger rule. The order of lines
+keyword occurs, also within a word, so each match of its regex must hold the
+keyword; a lower priority number is a stronger rule. The order of lines
 breaks ties.
 """
 
@@ -31,12 +32,12 @@ _RULES = r"""
 10 agpl-3.0 affero: gnu affero general public license (as published by the free software foundation )?(either )?(version |v ?)3
 12 agpl-3.0 agpl: spdx license identifier agpl 3 0( only| or later)?
 14 agpl-3.0 agpl: (gnu )?agpl ?v?3( 0)?( only| or later)?
-16 agpl-3.0 affero: www gnu org licenses agpl( 3 0)?( html| txt)?
+16 agpl-3.0 agpl: www gnu org licenses agpl( 3 0)?( html| txt)?
 18 agpl-1.0 affero: affero general public license (version |v ?)1
 20 agpl affero: (gnu )?affero general public licen[cs]e
 22 agpl affero: affero gpl
 24 agpl agpl: licensed under (the )?agpl
-10 lgpl-2.0 lesser: gnu library general public license version 2
+10 lgpl-2.0 library: gnu library general public license version 2
 11 lgpl-2.0 library: gnu library general public licen[cs]e( as published by the free software foundation)?( either)? (version |v ?)2
 12 lgpl-2.1 lgpl: spdx license identifier lgpl 2 1( only| or later)?
 12 lgpl-3.0 lgpl: spdx license identifier lgpl 3 0( only| or later)?
@@ -98,7 +99,7 @@ _RULES = r"""
 20 apache apache: apache software licen[cs]e
 22 apache apache: apache licen[cs]e
 24 apache apache: licensed to the apache software foundation asf
-26 apache apache: asl 2 0
+26 apache asl: asl 2 0
 10 mit mit: spdx license identifier mit
 12 mit-0 mit: mit (no attribution|0)( license)?
 12 mit-modern mit: mit modern variant
@@ -164,7 +165,7 @@ _RULES = r"""
 13 cc-by-4.0 cc by: cc by 4 0
 10 cc-by-nc-sa noncommercial: creative commons attribution noncommercial share ?alike( [1234] [05])?( international| unported| generic)?( public)?( licen[cs]e)?
 10 cc-by-nc-nd noncommercial: creative commons attribution noncommercial no ?deriv(ative)?s?( works)?( [1234] [05])?
-12 cc-by-nc noncommercial: creative commons attribution non ?commercial( [1234] [05])?( international| unported| generic)?( public)?( licen[cs]e)?
+12 cc-by-nc attribution non: creative commons attribution non ?commercial( [1234] [05])?( international| unported| generic)?( public)?( licen[cs]e)?
 12 cc-by-nc non commercial: creative commons attribution non commercial
 12 cc-by-sa creative commons: creative commons attribution share ?alike( [1234] [05])?( international| unported| generic)?( public)?( licen[cs]e)?
 12 cc-by-nd creative commons: creative commons attribution no ?deriv(ative)?s?( works)?( [1234] [05])?
@@ -182,7 +183,7 @@ _RULES = r"""
 10 isc isc: spdx license identifier isc
 12 isc permission: permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
 14 isc isc: isc licen[cs]e
-16 isc isc: internet systems consortium licen[cs]e
+16 isc consortium: internet systems consortium licen[cs]e
 10 zlib zlib: (spdx license identifier zlib|zlib libpng licen[cs]e|zlib licen[cs]e)
 12 zlib as is: this software is provided as is without any express or implied warranty in no event will the authors be held liable
 14 libpng libpng: libpng licen[cs]e( version 2)?
@@ -210,7 +211,7 @@ _RULES = r"""
 10 psf-2.0 python: python software foundation license( version 2)?
 12 psf-2.0 psf: (spdx license identifier )?psf 2 0
 14 python-2.0 python: python license( version)? 2 0
-16 psf python: psf licen[cs]e( agreement)?
+16 psf psf: psf licen[cs]e( agreement)?
 10 ofl-1.0 ofl: ofl 1 0
 10 ofl-1.1 ofl: ofl 1 1
 12 ofl-1.1 open font: sil open font license( version 1 1)?
@@ -231,7 +232,7 @@ _RULES = r"""
 13 json good not evil: shall be used for good not evil
 12 beerware beer: beer ?ware( licen[cs]e)?
 12 sleepycat sleepycat: sleepycat (public )?licen[cs]e
-12 qpl qpl: q public licen[cs]e
+12 qpl q public: q public licen[cs]e
 13 qpl q public: q public licen[cs]e( version 1 0)?
 12 osl-3.0 open software: open software licen[cs]e( version| v)? 3 0
 14 osl open software: open software licen[cs]e
@@ -255,9 +256,9 @@ _RULES = r"""
 12 commons-clause commons clause: commons clause( licen[cs]e condition)?
 12 polyform polyform: polyform (noncommercial|small business|shield|strict|perimeter) licen[cs]e
 12 odbl-1.0 odbl: odbl( 1 0| v1 0)?
-13 odbl-1.0 open database: open (data commons )?(open )?database licen[cs]e
+13 odbl-1.0 database licen: open (data commons )?(open )?database licen[cs]e
 13 odc-by open data commons: open data commons attribution licen[cs]e
-13 pddl open data commons: (open data commons )?public domain dedication and licen[cs]e
+13 pddl public domain dedication: (open data commons )?public domain dedication and licen[cs]e
 12 ogl open government: open government licen[cs]e( v[123]| version [123])?( 0)?
 12 cdla community data: community data licen[cs]e agreement (permissive|sharing)
 12 rail rail: (bigscience |creativeml )?open ?rail( m)?( licen[cs]e)?
@@ -282,7 +283,7 @@ _RULES = r"""
 45 proprietary eula: subject to the eula
 46 commercial commercial licen: commercial licen[cs]e (is )?(required|available)
 60 dual dual licen: dual licensed under
-61 see-license license: see (the )?licen[cs]e( file)? for (more )?(details|information|terms)
+61 see-license licen: see (the )?licen[cs]e( file)? for (more )?(details|information|terms)
 62 see-license license: license file (in|at) the root
 63 spdx-other spdx: spdx license identifier [0-9a-z]+( [0-9]+)*
 64 copyright copyright: copyright (c )?[12][09][0-9][0-9]

@@ -31,7 +31,7 @@ def _spaces(text: Column) -> Column:
 
 def _table(rules: list[Rule]) -> Column:
     """The rules as one constant array."""
-    entry = lambda i, r: F.struct(F.lit(i).alias("n"), F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"), F.lit(r.keyword.split(" ")[0]).alias("first"), F.lit(f"(?<= ){'(?:' + r.regex + ')'}(?= )").alias("regex"), F.lit(r.base).alias("base"))
+    entry = lambda i, r: F.struct(F.lit(i).alias("n"), F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"), F.lit(f"(?<= ){'(?:' + r.regex + ')'}(?= )").alias("regex"), F.lit(r.base).alias("base"))
     return F.array(*[entry(i, r) for i, r in enumerate(rules)])
 
 
@@ -69,18 +69,16 @@ def scan(docs: DataFrame, text: str = "text", rules: list[Rule] | None = None) -
 
     used = set(docs.columns)
     name = next(f"_canonical{i}" for i in count() if f"_canonical{i}" not in used)
-    rows = docs.drop("n_words", "detections", "_present", "_tried", "_all", "_kept").withColumn(name, canonical(F.col(text)))
+    rows = docs.drop("n_words", "detections", "_tried", "_all", "_kept").withColumn(name, canonical(F.col(text)))
     rules = rules or RULES
-    # most documents have none of the keywords' first words: one hashed look over their words settles it
-    firsts = F.array(*[F.lit(w) for w in sorted({r.keyword.split(" ")[0] for r in rules})])
-    tried = F.filter(_table(rules), lambda r: F.array_contains("_present", r["first"]) & F.contains(F.col(name), r["keyword"]))
-    tried = F.when(F.size("_present") > 0, tried).otherwise(F.slice(_table(rules[:1]), 1, 0))
+    # a keyword may be a part of a word ("0bsd", "openrail"), so only its letters are asked for
+    tried = F.filter(_table(rules), lambda r: F.contains(F.col(name), r["keyword"]))
     rows = rows.withColumn("n_words", F.when(F.trim(name) == "", 0).otherwise(_spaces(F.col(name)) - 1).cast("long"))
-    rows = rows.withColumn("_present", F.array_intersect(firsts, F.split(name, " "))).withColumn("_tried", tried)
+    rows = rows.withColumn("_tried", tried)
     rows = rows.withColumn("_all", F.expr(f"flatten(transform(_tried, r -> {_SPANS.format(c=name)}))"))
     rows = rows.withColumn("_kept", F.expr(_KEPT))
     kept = F.expr("concat(filter(_kept, k -> not k.base), filter(_all, k -> k.base))")
-    return rows.withColumn("detections", kept).drop("_present", "_tried", "_all", "_kept", name)
+    return rows.withColumn("detections", kept).drop("_tried", "_all", "_kept", name)
 
 
 def digest(scanned: DataFrame) -> DataFrame:

@@ -153,6 +153,12 @@ def test_licenses(docs, none, spark):
     assert len(license_rules.RULES) > 200
 
 
+def test_licences_within_words_are_found(spark):
+    want = {"Beerware": "beerware", "OpenRAIL-M": "rail", "0BSD": "bsd-0-clause", "Apache2.0": "apache-2.0", "agpl3": "agpl-3.0", "lgpl3": "lgpl-3.0", "llama2 community license": "llama-community", "see licence for details": "see-license", "PSF license": "psf"}
+    rows = licenses.digest(licenses.scan(spark.createDataFrame([(i, f"some {t} here") for i, t in enumerate(want)], "doc_id long, text string"))).collect()
+    assert {list(want)[r["doc_id"]]: r["labels"] for r in rows} == want
+
+
 def test_base_phrases_against_a_plain_count(spark):
     text = "Apache License apache license MIT license!cc\nBY cc-by2 permit license gnu General public LICENSE xécc by İ mit license"
     rows = spark.createDataFrame([(1, text), (2, "cc by" + " a b mit license" * 300)], "doc_id long, text string")

@@ -1,7 +1,10 @@
 """The numpy parts against plain versions, without Spark."""
 
+import itertools
 import random
+import re
 import zlib
+from re import _parser
 
 import numpy as np
 import public_tokenizers
@@ -9,7 +12,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from rosterloom.llm import exact_dedup, html_text, jpeg, language, masked_lm, media, mixing, near_dedup, packing, toxicity
+from rosterloom.llm import exact_dedup, html_text, jpeg, language, license_rules, masked_lm, media, mixing, near_dedup, packing, toxicity
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -228,5 +231,33 @@ def test_every_place_is_a_target_once():
     assert sorted(found) == [(i, t) for i, x in enumerate(ids) for t in x]
 
 
+def forms(parsed):
+    """Strings that a parsed pattern matches: all branches and optional parts, the ends of ranges."""
+    each = []
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            each.append([chr(arg)])
+        elif name == "ANY":
+            each.append(["q"])
+        elif name == "IN":
+            each.append([c for o, a in arg for c in ([chr(a)] if str(o) == "LITERAL" else [chr(a[0]), chr(a[1])])])
+        elif name == "BRANCH":
+            each.append([f for b in arg[1] for f in forms(b)])
+        elif name == "SUBPATTERN":
+            each.append(forms(arg[-1]))
+        else:
+            assert name == "MAX_REPEAT"
+            each.append([f * n for n in (arg[0], arg[0] + 1) for f in forms(arg[2])])
+    return ["".join(x) for x in itertools.product(*each)]
+
+
+def test_each_form_of_a_licence_rule_holds_its_keyword():
+    for rule in license_rules.RULES:
+        found = forms(_parser.parse(rule.regex))
+        assert all(re.fullmatch(rule.regex, f) for f in found)
+        assert [f for f in found if rule.keyword not in f] == [], rule
+
+
 def test_ids_are_those_of_the_contract():
     assert zlib.crc32(b"17") % 4 == int(zlib.crc32(str(17).encode()) % 4)
