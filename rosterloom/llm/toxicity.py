@@ -32,13 +32,21 @@ PRIOR = 20
 _EDGE = ".,;:!?\"'()[]{}<>|*#%&$-_/\\"
 
 
+#: A longer run without blanks counts as several words, each of so many characters at most; neighbours overlap by the longest n-gram but one.
+LONGEST = 64
+
+
 def words_of(text: str) -> list[str]:
-    return [w for w in (x.strip(_EDGE) for x in text.lower().split()) if w]
+    words = [w for w in (x.strip(_EDGE) for x in text.lower().split()) if w]
+    if len(text) <= LONGEST or max(map(len, words), default=0) <= LONGEST:
+        return words
+    step = LONGEST - GRAMS[-1] + 1
+    return [w[a : a + LONGEST] for w in words for a in range(0, max(len(w) - GRAMS[-1] + 1, 1) if len(w) > LONGEST else 1, step)]
 
 
 def grams_of(word: str) -> list[int]:
     """Buckets of a word and of its n-grams."""
-    data = f"<{word[:64]}>"
+    data = f"<{word}>"
     found = {zlib.crc32(data.encode("utf-8", "surrogatepass"))}
     for n in GRAMS:
         found.update(zlib.crc32(data[i : i + n].encode("utf-8", "surrogatepass")) for i in range(len(data) - n + 1))

@@ -204,6 +204,16 @@ def test_toxicity_shares_n_grams_with_misspellings():
     assert (toxicity.train(["a", "b"], [0, 0]).score(["a"]) < 0.5).all()
 
 
+def test_toxicity_reads_long_runs_whole():
+    model = toxicity.train(["quiet garden path"] * 20 + ["idiot worthless path"] * 20, [0] * 20 + [1] * 20)
+    a, b = model.score(["x" * 500, "x" * 500 + "idiotworthless" * 3])
+    assert b > a
+    run = "".join(chr(0x4E00 + i) for i in range(1000))
+    pieces = toxicity.words_of(run)
+    assert max(map(len, pieces)) <= toxicity.LONGEST and all(any(run[i : i + 6] in p for p in pieces) for i in range(995))
+    assert toxicity.words_of("a" * 64 + " b") == ["a" * 64, "b"]
+
+
 def test_masked_network_learns():
     words = masked_lm.Vocabulary(["a", "b", "c", "d"], [1, 1])
     texts = ["a b c d " * 20] * 30
