@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +41,38 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows (of identifiers and digests, under 100 bytes each) up to which a join broadcasts them; more are joined by shuffle.
+MOST_BROADCAST = 500_000
+
+
+def sent(rows: DataFrame) -> DataFrame:
+    """``rows`` of bounded width (that are cut), broadcast if they are few."""
+    return F.broadcast(rows) if rows.count() <= MOST_BROADCAST else rows
+
+
+def digest(column: str = "text"):
+    """What rows are found again by, besides their doc_id: a table's rows needn't
+    come in the same order twice."""
+    return F.unhex(F.sha2(F.coalesce(F.col(column), F.lit("")), 256))
+
+
+def keep_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, with all columns, by ``rows`` (doc_id, digest,
+    stays), one for each. Rows that agree in doc_id and text are alike: of them as
+    many stay as decisions say, one at most. Only decisions move, and only
+    those that change something."""
+    fate = rows.groupBy("doc_id", "digest").agg(F.max("stays").alias("_stays"), F.count(F.lit(1)).alias("_n")).where("not _stays or _n > 1")
+    fate = cut(fate.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "_stays"))
+    small = sent(fate)
+    own = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_own"), digest().alias("_key"))
+    same = F.col("_key").eqNullSafe(F.col("_digest")) & F.col("_own").eqNullSafe(F.col("_id"))
+    stay = own.join(small, same, "left_anti").select("_row.*")
+    if fate.where("_stays").isEmpty():
+        return stay
+    again = own.join(small.where("_stays"), same).groupBy("_own", "_key").agg(F.first("_row").alias("_row"))
+    return stay.unionByName(again.select("_row.*"))
+
+
 def crc_of_id(column: str = "doc_id"):
     """crc32 of the identifier's decimal text (0 for a null identifier)."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
@@ -62,3 +97,30 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20)
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The column's strings; null is the empty string."""
     return [x or "" for x in batch.column(column).to_pylist()]
+
+
+_STORES: dict[str, Any] = {}
+
+
+def kept(name: str, make: Callable[[], Any], beside: tuple[str, ...] = ()) -> Any:
+    """What ``make`` gives, kept for all tasks of one Python worker that ask for
+    ``name``. Workers live longer than a query, so asking for another name lets
+    go of the stores before (but those ``beside``) and returns their memory."""
+    found = _STORES.get(name)
+    if found is None:
+        gone = [n for n in _STORES if n not in beside]
+        for n in gone:
+            del _STORES[n]
+        if gone:
+            give_back()
+        found = _STORES[name] = make()
+    return found
+
+
+def give_back() -> None:
+    """Free memory goes back to the system, where the C library can do that."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
