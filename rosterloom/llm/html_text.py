@@ -31,23 +31,45 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
 #: Containers that may hold the main text.
 HOLDER = frozenset("article main section div td body center table".split())
 #: Elements that never belong to it.
+NEVER = frozenset("script style noscript template iframe svg canvas head title object embed audio video map textarea".split())
 OUTSIDE = frozenset("nav header footer aside form script style noscript template iframe svg canvas button select option textarea input object embed audio video map menu dialog head title label".split())
-_BAD = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adbox|adsense|sponsor(?:ed)?|banners?|promo(?:s|tion)?|comments?|commentlist|replies|reply|disqus|respond|sidebars?|side|widgets?|menus?|nav(?:bar|igation)?|breadcrumbs?|footers?|headers?|masthead|topbar|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlays?|newsletters?|subscri(?:be|ption)|signup|login|share|sharing|social|related|recommended|pagination|pager|toolbar|copyright|legal|disclaimer|hidden|skip|search)(?:$|[\s_-])",
-    re.I,
+#: Names of parts that never belong to it: of a class or id as a whole, at its end, or at the start of two.
+_BAD = frozenset(
+    "ad ads advert adverts advertisement advertisements adbox adsense sponsor sponsored banner banners promo promos promotion comment comments commentlist replies reply disqus respond "
+    "sidebar sidebars side widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs footer footers header headers masthead topbar cookie cookies consent gdpr notice notices "
+    "alert alerts popup popups modal modals overlay overlays newsletter newsletters subscribe subscription signup login share sharing social related recommended pagination pager toolbar "
+    "copyright legal disclaimer hidden skip search".split()
 )
+#: A name that starts so says something about the element, not what it is; an article's own header belongs to the article.
+_ABOUT, _OWN, _HEADER = frozenset("has no not with without".split()), frozenset("post entry article story content".split()), frozenset(("header", "headers"))
 _GOOD = re.compile(r"(?:^|[\s_-])(?:article|content|entry|post|story|main|text|body)(?:$|[\s_-])", re.I)
+_DIGITS, _JOINT = re.compile(r"\d+"), re.compile(r"[-_:]+")
+
+
+def _is_bad(value: str) -> bool:
+    """Whether a class, id or role names a part that isn't main text."""
+    for token in value.lower().split():
+        parts = [p for p in _JOINT.split(_DIGITS.sub("", token)) if p]
+        if not parts or parts[0] in _ABOUT or parts[0] in _OWN and parts[-1] in _HEADER:
+            continue
+        if parts[-1] in _BAD or len(parts) == 2 and parts[0] in _BAD:
+            return True
+    return False
+
+
 #: Tags that an opening one ends if they are still open (no holder between).
 _ENDS = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 _STOPS = frozenset("ul ol dl table div article section main body td th".split())
 
 
 class Node:
-    __slots__ = ("tag", "path", "bad", "parent", "words", "linked", "blocks", "good")
+    __slots__ = ("tag", "path", "own", "bad", "parent", "words", "linked", "good")
 
-    def __init__(self, tag: str, path: str, bad: bool, good: bool, parent: Node | None):
-        self.tag, self.path, self.bad, self.good, self.parent = tag, path, bad, good, parent
-        self.words = self.linked = self.blocks = 0
+    def __init__(self, tag: str, path: str, own: bool, good: bool, parent: Node | None):
+        self.tag, self.path, self.own, self.good, self.parent = tag, path, own, good, parent
+        #: it, or what it stands in, is no main text
+        self.bad = own or bool(parent and parent.bad)
+        self.words = self.linked = 0
 
 
 def _node(tag: str, source: str, parent: Node | None) -> Node:
@@ -57,7 +79,7 @@ def _node(tag: str, source: str, parent: Node | None) -> Node:
         for name, a, b, c in _ATTRIBUTE.findall(source):
             name, value = name.lower(), html.unescape(a or b or c)
             if name in ("class", "id", "role"):
-                bad = bad or bool(tag not in ("html", "body") and _BAD.search(value))
+                bad = bad or tag not in ("html", "body") and _is_bad(value)
                 good = good or bool(_GOOD.search(value))
             elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
                 bad = bad or tag not in ("html", "body")
@@ -65,7 +87,7 @@ def _node(tag: str, source: str, parent: Node | None) -> Node:
                 classes = ".".join(sorted(re.sub(r"\d+", "", value).lower().split()))
         if classes:
             label = f"{tag}.{classes}"
-    return Node(tag, f"{parent.path}/{label}" if parent else label, bad or bool(parent and parent.bad), good, parent)
+    return Node(tag, f"{parent.path}/{label}" if parent else label, bad, good, parent)
 
 
 def _walk(page: str) -> Iterator[tuple[Node, str | None]]:
@@ -119,13 +141,48 @@ def _walk(page: str) -> Iterator[tuple[Node, str | None]]:
                 stack.append(node)
 
 
+#: Of a page's words, those that must be left outside of an element for it to be taken as no main text.
+LEAST_LEFT = 0.1
+
+
+def walk(page: str) -> list[tuple[Node, str | None]]:
+    """``_walk``, with references decoded run by run. A container or form that holds
+    nearly all words of the page is its text, whatever it is called."""
+    walked = [(node, None if text is None else html.unescape(text)) for node, text in _walk(page)]
+    while True:
+        total, outer = 0, {}
+        for node, text in walked:
+            if text is None:
+                continue
+            n, top, at = len(text.split()), None, node
+            while at is not None:
+                if at.own:
+                    top = at
+                at = at.parent
+            if n and not (top and top.tag in NEVER):
+                total += n
+                if top and (top.tag in HOLDER or top.tag == "form"):
+                    outer[id(top)] = (top, outer.get(id(top), (top, 0))[1] + n)
+        most = max(outer.values(), key=lambda x: x[1], default=None)
+        if not most or most[1] < (1 - LEAST_LEFT) * total or total == 0:
+            return walked
+        most[0].own = False
+        for node, _ in walked:
+            chain = []
+            while node is not None:
+                chain.append(node)
+                node = node.parent
+            for at in reversed(chain):
+                at.bad = at.own or bool(at.parent and at.parent.bad)
+
+
 def containers(page: str | list) -> list[tuple[str, float]]:
     """Paths that may hold the page's main text, with scores, best first. A holder
-    counts the words of its paragraphs, all of them near and half of them through
-    each holder between, less those in links."""
-    found: dict[str, list] = {}
+    (the page itself is one) counts the words of its paragraphs, all of them near and
+    half of them through each holder between, less those in links."""
+    found: dict[str, float] = {}
     live: dict[int, Node] = {}
-    for node, text in _walk(page) if isinstance(page, str) else page:
+    for node, text in walk(page) if isinstance(page, str) else page:
         if text is None or node.bad:
             continue
         n = len(text.split())
@@ -134,8 +191,10 @@ def containers(page: str | list) -> list[tuple[str, float]]:
         share, link, at = 1.0, False, node
         while at is not None:
             link = link or at.tag == "a"
-            if at.tag in HOLDER:
-                live[id(at)] = at
+            if at.tag in HOLDER or at.parent is None:
+                if id(at) not in live:
+                    live[id(at)] = at
+                    at.words = at.linked = 0
                 at.words += n * share
                 at.linked += n * share * link
                 share *= 0.5
@@ -143,23 +202,24 @@ def containers(page: str | list) -> list[tuple[str, float]]:
     for at in live.values():
         score = (at.words - 2 * at.linked) * (1.5 if at.good else 1.0)
         if score > 0:
-            found.setdefault(at.path, [0.0])[0] += score
-    return sorted(((p, s[0]) for p, s in found.items()), key=lambda x: (-x[1], x[0]))
+            found[at.path] = found.get(at.path, 0.0) + score
+    return sorted(found.items(), key=lambda x: (-x[1], x[0]))
 
 
 def extract(page: str, path: str | None = None) -> str:
     """The text of all elements at ``path`` (or of the page's best container):
     blocks in page order, parted by an empty line."""
-    walked = list(_walk(page))
-    if path is None or not any(n.path == path or n.path.startswith(path + "/") for n, _ in walked):
+    walked = walk(page)
+    inside = lambda n, path: n.path == path or n.path.startswith(path + "/")
+    if path is None or not any(text and not node.bad and inside(node, path) and text.strip() for node, text in walked):
         best = containers(walked)
         if not best:
             return ""
         path = best[0][0]
-    inside, blocks, run = path + "/", [], []
+    blocks, run = [], []
 
     def end() -> None:
-        text = " ".join(html.unescape("".join(run)).split())
+        text = " ".join("".join(run).split())
         if text:
             blocks.append(text)
         run.clear()
@@ -167,7 +227,7 @@ def extract(page: str, path: str | None = None) -> str:
     for node, text in walked:
         if text is None:
             end()
-        elif not node.bad and (node.path == path or node.path.startswith(inside)):
+        elif not node.bad and inside(node, path):
             run.append(text)
     end()
     return "\n\n".join(blocks)
@@ -201,17 +261,21 @@ def winners(pages: DataFrame) -> DataFrame:
 def main_text(pages: DataFrame) -> DataFrame:
     """``pages`` (url, html and any others) with ``text string`` in place of html
     and ``n_chars long``. A null or empty html has the empty text; pages without a
-    host in their url vote together; an empty table gives an empty result."""
-    rows = pages.drop("text", "n_chars", "host", "path").withColumn("host", F.coalesce(F.lower(F.regexp_extract("url", HOST, 1)), F.lit("")))
+    host in their url vote together; repeated rows are pages of their own; columns
+    of the two names are replaced, others pass through, whatever their names; an
+    empty table gives an empty result."""
+    rest = [f for f in pages.schema.fields if f.name not in ("html", "text", "n_chars")]
+    # columns are numbered, so that no name can clash with those used here
+    host = F.coalesce(F.lower(F.regexp_extract("url", HOST, 1)), F.lit(""))
+    rows = pages.select(*(F.col(f.name).alias(f"c{i}") for i, f in enumerate(rest)), "html", host.alias("host"))
     best = cut(winners(rows))
     best = F.broadcast(best) if best.count() <= MOST_BROADCAST else best
-    rows = rows.join(best, "host", "left")
-    rest = [f for f in rows.schema.fields if f.name not in ("html", "host", "path")]
+    rows = rows.join(best, "host", "left").select(*(f"c{i}" for i in range(len(rest))), "html", "path")
     schema = T.StructType([*rest, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html"):
             texts = [extract(h or "", p) for h, p in zip(batch.column("html").to_pylist(), batch.column("path").to_pylist())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in rest), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], schema.names)
 
     return rows.mapInArrow(run, schema)
