@@ -6,10 +6,10 @@ the ordered list of its chunks' identifiers. Documents are equal exactly if thei
 recipes are, and only recipes, eight bytes for about a kilobyte of text, move to
 be compared.
 
-Identifiers are verified before any comparison counts: the chunks of documents
-whose recipes agree are gathered by identifier, each distinct content once per
-map task, and where two contents share an identifier they are told apart by a
-digest of the content. Only documents with a partner send chunks at all.
+Identifiers are verified before any comparison counts: each comes with the
+SHA-256 of its chunk's content, every pair once per map task, and where two
+contents share an identifier the digests take its place in the recipes. So a text
+is read once, where it lies, and no chunk ever moves.
 """
 
 from __future__ import annotations
@@ -19,10 +19,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterloom.llm.common import BLANKS, cut, slices, texts_of
+from rosterloom.llm.common import BLANKS, cut, digest, keep_rows, slices, texts_of
 
 MEAN_BITS = 10
 LEAST, MOST = 256, 8192
@@ -65,104 +65,89 @@ def squeeze(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass").translate(None, BLANKS.encode())
 
 
-def identifier(chunk: bytes, width: int = 8) -> bytes:
-    return hashlib.blake2b(chunk, digest_size=width).digest()
-
-
 def _recipes(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            recipe, sha = [], []
-            for text in texts_of(batch):
+            texts, recipe, sums, sha = texts_of(batch), [], [], []
+            for text in texts:
                 data = squeeze(text)
-                recipe.append(b"".join(identifier(c, width) for c in chunks(data)))
-                sha.append(hashlib.sha256(data).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(t) for t in texts_of(batch)], pa.int64()), pa.array(recipe, pa.binary()), pa.array(sha, pa.string())], ["doc_id", "n_points", "recipe", "text_sha256"])
-
-    return run
-
-
-def _contents(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            seen: set[bytes] = set()
-            for text in texts_of(batch):
-                seen.update(chunks(squeeze(text)))
-            found = sorted(seen)
-            yield pa.RecordBatch.from_arrays([pa.array([identifier(c, width) for c in found], pa.binary()), pa.array(found, pa.binary())], ["chunk_id", "content"])
+                parts = chunks(data)
+                each = [hashlib.sha256(c).digest() for c in parts]
+                recipe.append(b"".join(d[:width] for d in each))
+                sums.append(b"".join(each))
+                sha.append(each[0].hex() if len(each) == 1 else hashlib.sha256(data).hexdigest())
+            columns = [batch.column("doc_id"), batch.column("digest"), pa.array([len(t) for t in texts], pa.int64()), pa.array(recipe, pa.binary()), pa.array(sums, pa.binary()), pa.array(sha, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "n_points", "recipe", "sums", "text_sha256"])
 
     return run
 
 
 def recipes(docs: DataFrame, width: int = 8) -> DataFrame:
-    """(doc_id, n_points, recipe, text_sha256) for every row."""
+    """(doc_id, digest, n_points, recipe, sums, text_sha256) for every row: the ordered
+    identifiers of its chunks, ``width`` bytes each, and their SHA-256."""
     key = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_recipes(width), f"doc_id {key}, n_points long, recipe binary, text_sha256 string")
+    rows = docs.select("doc_id", "text", digest().alias("digest"))
+    return rows.mapInArrow(_recipes(width), f"doc_id {key}, digest binary, n_points long, recipe binary, sums binary, text_sha256 string")
 
 
-def clashes(docs: DataFrame, partnered: DataFrame, width: int = 8) -> DataFrame:
-    """Identifiers with more than one content among the documents whose keys are
-    in ``partnered`` (normally none). Partial aggregation leaves each distinct
-    content once per map task, so a passage of a third of all rows moves once
-    from each task, not once for each row."""
-    some = docs.select("doc_id", "text").join(partnered, "doc_id", "left_semi").select("text")
-    found = some.mapInArrow(_contents(width), "chunk_id binary, content binary")
-    per = found.distinct().groupBy("chunk_id").agg(F.count(F.lit(1)).alias("_n"))
-    return per.where("_n > 1").select("chunk_id")
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "sums"):
+        found = {s[i : i + 32] for s in batch.column("sums").to_pylist() for i in range(0, len(s), 32)}
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.binary())], ["sum"])
+
+
+def clashes(made: DataFrame, width: int = 8) -> DataFrame:
+    """Identifiers with more than one content (normally none). Partial aggregation
+    leaves a passage of a third of all rows once for each map task."""
+    found = made.select("sums").mapInArrow(_pairs, "sum binary").distinct()
+    return found.groupBy(F.substring("sum", 1, width).alias("chunk_id")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("chunk_id")
 
 
 def _renamed(bad: list[bytes], width: int):
     """Recipes in which identifiers that clash are replaced by whole digests."""
     worst = set(bad)
 
+    def name(d: bytes) -> bytes:
+        return b"\1" + d if d[:width] in worst else b"\0" + d[:width]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            out = []
-            for text in texts_of(batch):
-                ids = []
-                for c in chunks(squeeze(text)):
-                    i = identifier(c, width)
-                    ids.append(b"\0" + i if i not in worst else b"\1" + hashlib.sha256(c).digest())
-                out.append(b"".join(ids))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(t) for t in texts_of(batch)], pa.int64()), pa.array(out, pa.binary()), pa.array([hashlib.sha256(squeeze(t)).hexdigest() for t in texts_of(batch)], pa.string())], ["doc_id", "n_points", "recipe", "text_sha256"])
+        for batch in slices(batches, "sums"):
+            out = [b"".join(name(s[i : i + 32]) for i in range(0, len(s), 32)) for s in batch.column("sums").to_pylist()]
+            yield batch.set_column(batch.schema.get_field_index("recipe"), "recipe", pa.array(out, pa.binary()))
 
     return run
 
 
-def exact_groups(docs: DataFrame, width: int = 8) -> DataFrame:
-    """(doc_id, keep_id, group_size, kept, text_sha256) for every row of ``docs``.
-
-    Texts are equal when they are identical without white space; null counts as
-    empty, and all empty texts are equal. The row with most code points stays,
-    then that with the smallest doc_id. Of rows that also share a doc_id, one is
-    marked kept. A null doc_id comes after all others. An empty table gives an
-    empty result; other columns are ignored.
-    """
+def _grouped(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, digest, keep_id, group_size, kept, text_sha256) for every row."""
     made = cut(recipes(docs, width))
-    alike = made.groupBy("recipe").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 and length(recipe) > 0")
-    partnered = made.join(alike, "recipe", "left_semi").select("doc_id").distinct()
-    bad = [bytes(r[0]) for r in clashes(docs, partnered, width).limit(100_001).collect()]
+    bad = [bytes(r[0]) for r in clashes(made, width).limit(100_001).collect()]
     if len(bad) > 100_000:
         # so narrow an identifier can't serve; a wider one takes its place
-        return exact_groups(docs, width * 2)
+        return _grouped(docs, width * 2)
     if bad:
-        key = docs.schema["doc_id"].dataType.simpleString()
-        made = cut(docs.select("doc_id", "text").mapInArrow(_renamed(bad, width), f"doc_id {key}, n_points long, recipe binary, text_sha256 string"))
+        made = cut(made.mapInArrow(_renamed(bad, width), made.schema))
     # a long document's recipe is compared by the digest of its ordered identifiers and their number
-    made = made.select("doc_id", "n_points", "text_sha256", F.sha2("recipe", 256).alias("_r"), F.length("recipe").alias("_len"), F.monotonically_increasing_id().alias("_row"))
+    made = made.select("doc_id", "digest", "n_points", "text_sha256", F.unhex(F.sha2("recipe", 256)).alias("_r"), F.length("recipe").alias("_len"), F.monotonically_increasing_id().alias("_row"))
     best = F.min(F.struct((-F.col("n_points")).alias("a"), F.isnull("doc_id").alias("b"), F.col("doc_id").alias("c"), F.col("_row").alias("d")))
     groups = made.groupBy("_r", "_len").agg(best.alias("_best"), F.count(F.lit(1)).alias("group_size"))
     # a group may hold a third of all rows: the join deals such a key out over tasks (AQE), the aggregation combines it before the shuffle
-    return made.join(groups, ["_r", "_len"]).select("doc_id", F.col("_best.c").alias("keep_id"), "group_size", (F.col("_row") == F.col("_best.d")).alias("kept"), "text_sha256")
-
-
-def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns. Texts move once,
-    to meet the decision of their row."""
-    of_row = lambda sha: (F.xxhash64("doc_id", F.isnull("doc_id")).alias("_k"), sha.alias("_p"))
-    stay = exact_groups(docs).where("kept").select(*of_row(F.col("text_sha256")))
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), *of_row(F.sha2(F.translate(text, BLANKS, ""), 256)), F.length(text).alias("_n"))
-    first = Window.partitionBy("_k", "_p").orderBy(F.desc("_n"))
-    met = rows.join(stay, ["_k", "_p"], "left_semi").withColumn("_i", F.row_number().over(first))
-    return met.where("_i = 1").select("_row.*")
+    return made.join(groups, ["_r", "_len"]).select("doc_id", "digest", F.col("_best.c").alias("keep_id"), "group_size", (F.col("_row") == F.col("_best.d")).alias("kept"), "text_sha256")
+
+
+def exact_groups(docs: DataFrame, width: int = 8) -> DataFrame:
+    """(doc_id, keep_id, group_size, kept, text_sha256) for every row of ``docs``.
+
+    Texts are equal when they are identical without white space; null counts as
+    empty, and all empty texts are equal. The row with most code points stays,
+    then that with the smallest doc_id. Of rows that also share a doc_id, one is
+    marked kept. A null doc_id comes after all others. An empty table gives an
+    empty result; other columns are ignored, whatever their names.
+    """
+    return _grouped(docs, width).drop("digest")
+
+
+def drop_copies(docs: DataFrame, width: int = 8) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; outcomes for nulls,
+    ties, repeated rows and empty tables are those of ``exact_groups``."""
+    return keep_rows(docs, _grouped(docs, width).select("doc_id", "digest", F.col("kept").alias("stays")))
