@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterloom.llm.common import crc_of_id, slices, texts_of
+from rosterloom.llm.common import crc_of_id, give_back, kept, slices, texts_of
 
 #: Labelled rows to train on at most, drawn by a hash of doc_id; a bound on the driver's work.
 SAMPLE = 12_000
@@ -54,20 +54,38 @@ def grams_of(word: str) -> list[int]:
 
 
 class Bags:
-    """Words as sparse rows of buckets."""
+    """Words as sparse rows of buckets. Sums go over some ``PART`` buckets at a time."""
+
+    PART = 1 << 20
 
     def __init__(self, words: list[str]):
-        each = [grams_of(w) for w in words]
-        self.sizes = np.array([len(x) for x in each], np.int64)
-        self.flat = np.fromiter((b for x in each for b in x), np.int64, int(self.sizes.sum()))
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.int64) if len(words) else np.zeros(0, np.int64)
+        flat, sizes = array("i"), array("i")
+        for w in words:
+            found = grams_of(w)
+            flat.extend(found)
+            sizes.append(len(found))
+        self.flat, self.sizes = np.array(flat, np.int32), np.array(sizes, np.int32)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes, dtype=np.int64)])
+
+    def _parts(self) -> Iterator[tuple[slice, slice]]:
+        a = 0
+        while a < len(self.sizes):
+            b = max(a + 1, int(np.searchsorted(self.starts, self.starts[a] + self.PART, "right")) - 1)
+            yield slice(a, b), slice(self.starts[a], self.starts[b])
+            a = b
 
     def mean(self, values: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(values[self.flat], self.starts) / self.sizes if len(self.sizes) else np.zeros(0)
+        out = np.zeros(len(self.sizes))
+        for some, own in self._parts():
+            out[some] = np.add.reduceat(values[self.flat[own]], self.starts[some] - own.start) / self.sizes[some]
+        return out
 
     def spread(self, values: np.ndarray, buckets: int) -> np.ndarray:
         """The transpose of ``mean``."""
-        return np.bincount(self.flat, np.repeat(values / self.sizes, self.sizes), minlength=buckets)
+        total = np.zeros(buckets)
+        for some, own in self._parts():
+            total += np.bincount(self.flat[own], np.repeat(values[some] / self.sizes[some], self.sizes[some]), minlength=buckets)
+        return total
 
 
 class Model:
@@ -80,7 +98,7 @@ class Model:
 
     def score(self, texts: list[str]) -> np.ndarray:
         counts = [Counter(words_of(t)) for t in texts]
-        if len(self.known) > 600_000:
+        if len(self.known) > 400_000:
             self.known.clear()
         new = list(dict.fromkeys(w for of in counts for w in of if w not in self.known))
         for a in range(0, len(new), 20_000):
@@ -99,40 +117,42 @@ def bag(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]
     and each text's sum of weights. A word weighs the root of its count, so that
     one word said a thousand times isn't the whole text."""
     numbers: dict[str, int] = {}
-    sizes, words, counts = np.zeros(len(texts), np.int64), array("q"), array("q")
+    sizes, words, counts = np.zeros(len(texts), np.int64), array("i"), array("i")
     for i, text in enumerate(texts):
         of = Counter(words_of(text))
         sizes[i] = len(of)
         words.extend([numbers.setdefault(w, len(numbers)) for w in of])
         counts.extend(of.values())
-    doc, weight = np.repeat(np.arange(len(texts)), sizes), np.sqrt(np.array(counts, np.float64))
-    return doc, np.array(words, np.int64), weight, list(numbers), np.bincount(doc, weight, minlength=len(texts)) if len(doc) else np.zeros(len(texts))
+    doc, weight = np.repeat(np.arange(len(texts), dtype=np.int32), sizes), np.sqrt(np.array(counts, np.float32))
+    return doc, np.array(words, np.int32), weight, list(numbers), np.bincount(doc, weight, minlength=len(texts)) if len(doc) else np.zeros(len(texts))
 
 
 def train(texts: list[str], labels: list[int], steps: int = 80, rate: float = 0.05, decay: float = 1e-5, floor: float = 1e-6, seed: int = 1) -> Model:
-    """Fit by full-batch Adam on the log loss. Words of one document only are left
-    out of training; their n-grams are met in other words. Without both labels
-    the model gives everything the labels' mean."""
+    """Fit by full-batch Adam on the log loss, on all words of all texts. The rarer
+    label's errors weigh more, by the root of the labels' ratio. Without both
+    labels the model gives everything the labels' mean."""
     y = np.asarray(labels, float)
     if not len(y) or y.min() == y.max():
         mean = float(np.clip(y.mean() if len(y) else 0.0, 0.01, 0.99))
         return Model(np.zeros(BUCKETS), np.log(mean / (1 - mean)))
     doc, word, weight, distinct, sums = bag(texts)
-    often = np.bincount(word, minlength=len(distinct)) >= 2
-    number = np.cumsum(often) - 1
-    keep = often[word]
-    doc, word, share = doc[keep], number[word[keep]], (weight / (sums + PRIOR)[doc])[keep] * SCALE
-    bags, n_words = Bags([w for w, o in zip(distinct, often) if o]), int(often.sum())
+    bags, n_words = Bags(distinct), len(distinct)
+    share = (weight / (sums + PRIOR)[doc]) * SCALE
+    del weight, distinct
 
     rng = np.random.default_rng(seed)
-    used, flat = np.unique(bags.flat, return_inverse=True)
-    bags.flat = flat
+    met = np.zeros(BUCKETS, bool)
+    met[bags.flat] = True
+    used = np.flatnonzero(met)
+    bags.flat = (np.cumsum(met, dtype=np.int32) - 1)[bags.flat]
     vec, read = rng.normal(0, 0.1, (len(used), WIDTH)).astype(np.float32), rng.normal(0, 0.3, (WIDTH, 2)).astype(np.float32)
-    bias = np.log(np.array([1 - y.mean(), y.mean()]))
+    heavy = np.where(y > 0, np.sqrt((1 - y.mean()) / y.mean()), 1.0)
+    heavy /= heavy.sum()
+    bias = np.log(np.array([heavy @ (1 - y), heavy @ y]))
     first, second = [[np.zeros_like(p) for p in (vec, read, bias)] for _ in range(2)]
     for step in range(1, steps + 1):
         logit = np.bincount(doc, share * bags.mean(vec @ (read[:, 1] - read[:, 0]))[word], minlength=len(y)) + bias[1] - bias[0]
-        off = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y) / len(y)
+        off = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y) * heavy
         down = bags.spread(np.bincount(word, share * off[doc], minlength=n_words), len(used)).astype(np.float32)
         to_read = vec.T @ down
         grads = (np.outer(down, read[:, 1] - read[:, 0]) + decay * vec, np.stack([-to_read, to_read], 1) + decay * read, np.array([-off.sum(), off.sum()]))
@@ -156,7 +176,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [(i, t, y) for b in batches for i, t, y in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "_y")))]
         found.sort()
-        model = train([t for _, t, _ in found], [y for *_, y in found])
+        texts, labels = [t for _, t, _ in found], [y for *_, y in found]
+        del found
+        model = train(texts, labels)
+        del texts
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias])], ["weights", "bias"])
 
     # the sample is bounded: one task trains on it, and only the model comes to the driver
@@ -164,29 +188,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(np.frombuffer(made["weights"], np.float32), made["bias"]) if made else train([], [])
 
 
-_OWN: dict[str, Model] = {}
-
-
-def _model(name: str, sent) -> Model:
-    """One for each Python worker, over all tasks that it runs."""
-    if name not in _OWN:
-        _OWN.clear()
-        _OWN[name] = Model(*sent.value)
-    return _OWN[name]
-
-
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """``docs`` with ``score double`` (0 to 1) and ``predicted int``. Null and empty
     texts get the score of an empty bag, which is the model's bias; columns of
     the two names are replaced, others pass through."""
     sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
-    name = uuid.uuid4().hex
+    name = f"toxicity {uuid.uuid4().hex}"
     rest = docs.drop("score", "predicted")
     schema = T.StructType([*rest.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _model(name, sent)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 20):
+            # one for each Python worker, over all tasks that it runs
+            own = kept(name, lambda: Model(*sent.value))
             got = own.score(texts_of(batch))
             columns = [*batch.columns, pa.array(got, pa.float64()), pa.array((got >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "score", "predicted"])
