@@ -6,11 +6,13 @@ score is the sum of the logarithms over all its places.
 
 Counts of all words of the corpus stay in a distributed table. A word's
 probability has two levels: the network gives its class (the most frequent words
-are classes of their own, all others share spelling buckets), and the counts give
+are classes of their own, all others share buckets by hash), and the counts give
 the word within its class, so that every word is predicted as itself; one count
-in each class is left for words that the corpus doesn't hold. Around a place, all
-words of ``LEAST`` occurrences or more have vectors of their own, a number that
-grows with the corpus; rarer words share their bucket's.
+in each class is left for words that the corpus doesn't hold. Each executor holds
+the counts of the ``KNOWN`` most frequent words; those of all others are joined
+from the table. Around a place, words of ``LEAST`` occurrences or more (the
+``VECTORS`` most frequent at most) have vectors of their own; rarer words share
+their bucket's. Words are told apart by 64-bit hashes of their lower case.
 
 The network is trained in numpy where the documents are: every task masks every
 ``ROUNDS``-th place of each of its documents and trains a copy; the copies are
@@ -21,123 +23,122 @@ on from the average with the next places, until each place has been a target onc
 from __future__ import annotations
 
 import math
-import re
-import zlib
-from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterloom.llm.common import cut, slices, texts_of
+from rosterloom.llm.words import Table, words_of
 
 WORDS, BUCKETS, WIDTH = 256, 64, 16
 SIDE = 3
-#: Occurrences from which a word has a vector of its own.
-LEAST = 2000
+#: Occurrences from which a word has a vector of its own, and how many have one at most: the network's size, which every copy has.
+LEAST, VECTORS = 2000, 16_384
+#: Words whose counts the executors hold; a bound on memory, not on the words that are counted.
+KNOWN = 65_536
 #: One place in so many is masked in each round, in each round others.
 ROUNDS = 2
 BATCH, RATE = 2048, 0.05
 #: Copies that one step of averaging takes together.
 FAN = 16
-_BLANK = re.compile(r"[\x20\x09-\x0D]+")
+#: Distinct words that a task counts before it passes them on.
+HELD = 200_000
 
 
-_ODD = re.compile("[\x1c-\x1f]")
-
-
-def split(text: str) -> list[str]:
-    low = text.lower()
-    return low.split() if low.isascii() and not _ODD.search(low) else [w for w in _BLANK.split(low) if w]
-
-
-def _bucket(word: str, buckets: int) -> int:
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % buckets
-
-
-def _hash(word: str) -> int:
-    """As Spark's xxhash64 of the word."""
-    got = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 42)
-    return got - (1 << 64) if got >> 63 else got
+def hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Of the words of all texts (lower case, parted by space, tab to carriage return),
+    and the number of words before each text (and in all)."""
+    return words_of([t.lower().encode("utf-8", "surrogatepass") for t in texts])
 
 
 class Vocabulary:
-    """``words``, the most frequent first, are tokens of their own and the first
-    ``classes`` of them classes of their own; ``bucket_sizes`` are the occurrences
-    of all other words."""
-
-    def __init__(self, words: list[str], bucket_sizes: list[int], counts: list[int] | None = None, classes: int = WORDS):
-        self.number = {w: i for i, w in enumerate(words)}
-        self.words, self.buckets = len(words), len(bucket_sizes)
+    """``known`` are the hashes of the most frequent words, the first ``vectors`` of
+    which are tokens of their own and the first ``classes`` of these classes of
+    their own; ``bucket_sizes`` are the occurrences of all words that aren't."""
+
+    def __init__(self, known: np.ndarray, counts: np.ndarray, bucket_sizes: list[int], vectors: int | None = None, classes: int = WORDS):
+        known, self.buckets = np.asarray(known, np.uint64), len(bucket_sizes)
+        self.words = len(known) if vectors is None else vectors
+        self.table = Table()
+        self.table.add(known, np.arange(len(known), dtype=np.int32))
         #: the last token stands for the places before and after a text
         self.size = self.words + self.buckets + 1
         own = min(self.words, classes)
         self.classes = own + self.buckets + 1
-        #: of each token
-        self.class_of = np.array([*range(own), *(own + _bucket(w, self.buckets) for w in words[own:]), *range(own, self.classes)], np.int32)
+        bucket = self._bucket(known)
+        #: class of each token
+        self.class_of = np.array([*range(own), *(own + bucket[own : self.words]), *range(own, self.classes)], np.int32)
         whole = np.log(np.asarray(bucket_sizes, float) + 1)
-        #: log probability of each token in its class; a rare word's count comes on top
-        self.share = np.zeros(self.size)
-        self.share[own:-1] -= whole[self.class_of[own:-1] - own]
-        if counts is not None:
-            self.share[own : self.words] += np.log(counts[own:])
-        self.known: dict[str, int] = {}
-
-    def __getstate__(self):
-        return self.__dict__ | {"known": {}}
-
-    def _of(self, word: str) -> int:
-        i = self.number.get(word)
-        if i is None:
-            i = self.words + _bucket(word, self.buckets)
-        if len(self.known) > 500_000:
-            self.known.clear()
-        self.known[word] = i
-        return i
-
-    def numbers(self, words: list[str]) -> np.ndarray:
-        try:
-            return np.fromiter(map(self.known.__getitem__, words), np.int32, len(words))
-        except KeyError:
-            return np.fromiter((self.known[w] if w in self.known else self._of(w) for w in words), np.int32, len(words))
-
-    def encode(self, text: str) -> np.ndarray:
-        return self.numbers(split(text))
-
-    def with_rare(self, text: str) -> tuple[np.ndarray, list[int]]:
-        """The tokens, and the hashes of the words that aren't tokens of their own."""
-        words = split(text)
-        ids = self.numbers(words)
-        return ids, [_hash(words[i]) for i in np.flatnonzero(ids >= self.words).tolist()]
+        #: of each known word: token, and log probability in its class
+        place = np.arange(len(known))
+        self.token_of = np.where(place < self.words, place, self.words + bucket).astype(np.int32)
+        self.share_of = np.where(place < own, 0.0, np.log(np.maximum(counts, 1)) - whole[bucket]) if len(known) else np.zeros(0)
+        #: of a word that isn't known; its count comes on top
+        self.share_of_rare = -whole
+
+    def _bucket(self, keys: np.ndarray) -> np.ndarray:
+        return (keys & np.uint64(self.buckets - 1)).astype(np.int32)
+
+    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of words by hash: tokens, log probabilities within their classes, and which
+        of them aren't known."""
+        at, bucket = self.table.get(keys), self._bucket(keys)
+        rare = at < 0
+        tokens, share = self.words + bucket, self.share_of_rare[bucket]
+        tokens[~rare], share[~rare] = self.token_of[at[~rare]], self.share_of[at[~rare]]
+        return tokens, share, rare
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        keys, first = hashes(texts)
+        return np.split(self.look_up(keys)[0], first[1:-1]) if texts else []
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
-        of = Counter()
-        for text in texts_of(batch):
-            of.update(split(text))
-        yield pa.RecordBatch.from_arrays([pa.array(list(of), pa.string()), pa.array(list(of.values()), pa.int64())], ["w", "n"])
-
-
-def vocabulary(docs: DataFrame, words: int = WORDS, buckets: int = BUCKETS, least: int = LEAST) -> tuple[Vocabulary, DataFrame]:
+    def together() -> tuple[np.ndarray, np.ndarray]:
+        keys, inverse = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+        return keys, np.bincount(inverse, np.concatenate([n for _, n in held]), minlength=len(keys)).astype(np.int64)
+
+    def row() -> pa.RecordBatch:
+        keys, n = together()
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["h", "n"])
+
+    held, size = [], 0
+    for batch in slices(batches, "text", 1 << 20):
+        held.append(np.unique(hashes(texts_of(batch))[0], return_counts=True))
+        size += len(held[-1][0])
+        if size > HELD:
+            held = [together()]
+            size = len(held[0][0])
+            if 2 * size > HELD:
+                yield row()
+                held, size = [], 0
+    if held:
+        yield row()
+
+
+def vocabulary(docs: DataFrame, words: int = WORDS, buckets: int = BUCKETS, least: int = LEAST, vectors: int = VECTORS, known: int = KNOWN) -> tuple[Vocabulary, DataFrame]:
     """From the counts of all words of all documents, with a table (h, n) of the
-    hashes and counts of those that aren't tokens. Only the frequent words and one
-    number for each bucket reach the driver."""
-    sums = docs.mapInArrow(_counted, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    frequent = F.when(F.col("n") >= least, F.col("w"))
-    counts = cut(sums.select(F.xxhash64("w").alias("h"), "n", (F.crc32(F.col("w").cast("binary")) % buckets).alias("b"), frequent.alias("w")))
-    top = [(r["w"], r["n"]) for r in counts.where("w is not null").select("w", "n").collect()]
-    top.sort(key=lambda x: (-x[1], x[0]))
-    sizes = {r[0]: r[1] for r in counts.groupBy("b").agg(F.sum("n")).collect()}
-    for w, n in top[:words]:
-        sizes[_bucket(w, buckets)] -= n
-    made = Vocabulary([w for w, _ in top], [int(sizes.get(b, 0)) for b in range(buckets)], [n for _, n in top], words)
-    return made, counts.where("w is null").select("h", "n")
+    hashes and counts of those that aren't known. Only the ``known`` most frequent
+    words and one number for each bucket (a power of two) reach the driver."""
+    sums = docs.mapInArrow(_counted, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counts = cut(sums)
+    # the least count from which there are at most so many words, by a histogram of counts
+    steps = counts.groupBy(F.floor(F.log2("n") * 16).alias("s")).agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("n")).orderBy(F.desc("s")).collect()
+    fits = [r["n"] for r, upto in zip(steps, accumulate(r["c"] for r in steps)) if upto <= known]
+    often = F.col("n") >= (fits[-1] if fits else (1 << 62))
+    top = sorted(((r["h"], r["n"]) for r in counts.where(often).collect()), key=lambda x: (-x[1], x[0]))
+    sizes = {r[0]: r[1] for r in counts.groupBy(F.col("h").bitwiseAND(F.lit(buckets - 1))).agg(F.sum("n")).collect()}
+    vectors = min(vectors, sum(n >= least for _, n in top))
+    for h, n in top[: min(words, vectors)]:
+        sizes[h & (buckets - 1)] -= n
+    made = Vocabulary(np.array([h for h, _ in top], np.int64).view(np.uint64), np.array([n for _, n in top]), [int(sizes.get(b, 0)) for b in range(buckets)], vectors, words)
+    return made, counts.where(~often)
 
 
 class Network:
@@ -215,7 +216,8 @@ class Network:
             np.multiply(down, self.place[k], out=parts[k])
         # vectors that stand nowhere around have no gradient and stay
         flat = around.T.ravel()
-        order = np.argsort(flat)
+        # few enough tokens are sorted by their digits
+        order = np.argsort(flat.astype(np.uint16) if self.size < 1 << 16 else flat, kind="stable")
         flat = flat[order]
         starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
         used, vector = flat[starts], np.add.reduceat(parts.reshape(-1, self.width)[order], starts)
@@ -292,8 +294,8 @@ def average(copies: DataFrame, parts: int) -> np.ndarray | None:
 
 def _encoded(words: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([pa.array([words.encode(t).tobytes() for t in texts_of(batch)], pa.binary())], ["ids"])
+        for batch in slices(batches, "text", 1 << 20):
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in words.encode(texts_of(batch))], pa.binary())], ["ids"])
 
     return run
 
@@ -331,15 +333,17 @@ def score(docs: DataFrame, model: tuple[Vocabulary, DataFrame, np.ndarray | None
         if flat is not None:
             net.load(flat)
         for batch in slices(batches, "text", 1 << 20):
-            ids, rare = zip(*(words.with_rare(t) for t in texts_of(batch)))
-            around, target, owner = windows(ids, words.size - 1)
-            got = net.log_probs(around, words.class_of[target]) + words.share[target]
-            sums = np.bincount(owner, got, minlength=len(ids))
-            n = np.array([len(x) for x in ids], np.int64)
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(n), pa.array(sums), pa.array(rare, pa.list_(pa.int64()))], schema.names)
+            keys, first = hashes(texts_of(batch))
+            ids, share, unknown = words.look_up(keys)
+            around, target, owner = windows(np.split(ids, first[1:-1]), words.size - 1)
+            sums = np.bincount(owner, net.log_probs(around, words.class_of[target]) + share, minlength=batch.num_rows)
+            # rare words of each text, side by side
+            before = np.concatenate([[0], np.cumsum(unknown)])[first]
+            rare = pa.ListArray.from_arrays(pa.array(before, pa.int32()), pa.array(keys[unknown].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(np.diff(first).astype(np.int64)), pa.array(sums), rare], schema.names)
 
     made = cut(rest.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()))
-    # a rare word has fewer than LEAST rows in the corpus, so no key is heavy
+    # the KNOWN words before are all more frequent, so no key is heavy
     met = made.select("row", F.explode("rare").alias("h")).join(counts, "h")
     more = met.groupBy("row").agg(F.sum(F.log(F.col("n").cast("double"))).alias("more"))
     total = F.col("sum") + F.coalesce("more", F.lit(0.0))
