@@ -1,14 +1,15 @@
 """Signature rules of licences, over canonical text: lower case, words parted by
 one space, no punctuation ("GPL-2.0+" reads "gpl 2 0").
 
-A line is ``priority label keyword: regex``. A rule is tried only where its
-keyword occurs, also within a word, so each match of its regex must hold the
-keyword; a lower priority number is a stronger rule. The order of lines
-breaks ties.
+A line is ``priority label keyword: regex``. Each match of a regex holds the
+rule's keyword, which may start or end within a word, and a rule is tried only
+where its keyword occurs, in one of the words in which the regex can have it. A
+lower priority number is a stronger rule. The order of lines breaks ties.
 """
 
 from __future__ import annotations
 
+from itertools import product
 from typing import NamedTuple
 
 
@@ -291,6 +292,64 @@ _RULES = r"""
 """
 
 
+ANY = "\0"
+
+
+def forms(regex: str) -> list[str]:
+    """What ``regex`` matches, with ``ANY`` for any characters. It may have groups,
+    branches, sets, dots, and parts that are optional or come again."""
+
+    def branches(i: int) -> tuple[list[str], int]:
+        found, i = parts(i)
+        while i < len(regex) and regex[i] == "|":
+            more, i = parts(i + 1)
+            found = found + more
+        return found, i
+
+    def parts(i: int) -> tuple[list[str], int]:
+        each = []
+        while i < len(regex) and regex[i] not in "|)":
+            c = regex[i]
+            if c == "(":
+                some, i = branches(i + 1)
+                i += 1
+            elif c == "[":
+                end = regex.index("]", i)
+                inside, i = regex[i + 1 : end], end + 1
+                some = [ANY] if "-" in inside else list(inside)
+            elif c.isalnum() or c in " .":
+                some, i = [ANY if c == "." else c], i + 1
+            else:
+                raise ValueError(f"unknown syntax at {i} of {regex}")
+            times = regex[i : i + 1]
+            if times in ("?", "*", "+", "{") and times:
+                i = regex.index("}", i) + 1 if times == "{" else i + 1
+                some = [*some, *([] if times in "+?" else [ANY]), *([] if times == "+" else [""])]
+                if times == "+" and some != [ANY]:
+                    some = [*some, ANY]
+            each.append(some)
+        return ["".join(x) for x in product(*each)], i
+
+    return branches(0)[0]
+
+
+def keyword_words(rule: Rule) -> list[str] | None:
+    """The whole words in which a match of ``rule`` has the start of its keyword; None
+    if they can't be listed."""
+    try:
+        found = forms(rule.regex)
+    except ValueError:
+        return None
+    words = set()
+    for form in found:
+        at = f" {form} ".find(rule.keyword)
+        if at < 0:
+            return None
+        at = max(at, 1)
+        words.add(f" {form} "[f" {form} ".rindex(" ", 0, at) + 1 : f" {form} ".index(" ", at)])
+    return None if any(ANY in w or not w for w in words) else sorted(words)
+
+
 def _read(lines: str) -> list[Rule]:
     out = []
     for line in lines.strip().splitlines():
