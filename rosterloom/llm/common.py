@@ -120,7 +120,26 @@ def kept(name: str, make: Callable[[], Any], beside: tuple[str, ...] = ()) -> An
 def give_back() -> None:
     """Free memory goes back to the system, where the C library can do that."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):
         pass
+
+
+#: Bytes of an Arrow batch on its way to Python or back, where the session sets no bound of its own.
+BATCH_BYTES = "4m"
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` in batches of bounded bytes, after which a worker
+    returns what it has freed."""
+    bound, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    if bound not in conf.getAll:
+        conf.set(bound, BATCH_BYTES)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(task, schema)

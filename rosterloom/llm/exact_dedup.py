@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterloom.llm.common import BLANKS, cut, digest, keep_rows, slices, texts_of
+from rosterloom.llm.common import BLANKS, cut, digest, keep_rows, mapped, slices, texts_of
 
 MEAN_BITS = 10
 LEAST, MOST = 256, 8192
@@ -87,7 +87,7 @@ def recipes(docs: DataFrame, width: int = 8) -> DataFrame:
     identifiers of its chunks, ``width`` bytes each, and their SHA-256."""
     key = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", digest().alias("digest"))
-    return rows.mapInArrow(_recipes(width), f"doc_id {key}, digest binary, n_points long, recipe binary, sums binary, text_sha256 string")
+    return mapped(rows, _recipes(width), f"doc_id {key}, digest binary, n_points long, recipe binary, sums binary, text_sha256 string")
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +99,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def clashes(made: DataFrame, width: int = 8) -> DataFrame:
     """Identifiers with more than one content (normally none). Partial aggregation
     leaves a passage of a third of all rows once for each map task."""
-    found = made.select("sums").mapInArrow(_pairs, "sum binary").distinct()
+    found = mapped(made.select("sums"), _pairs, "sum binary").distinct()
     return found.groupBy(F.substring("sum", 1, width).alias("chunk_id")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("chunk_id")
 
 
@@ -126,7 +126,7 @@ def _grouped(docs: DataFrame, width: int) -> DataFrame:
         # so narrow an identifier can't serve; a wider one takes its place
         return _grouped(docs, width * 2)
     if bad:
-        made = cut(made.mapInArrow(_renamed(bad, width), made.schema))
+        made = cut(mapped(made, _renamed(bad, width), made.schema))
     # a long document's recipe is compared by the digest of its ordered identifiers and their number
     made = made.select("doc_id", "digest", "n_points", "text_sha256", F.unhex(F.sha2("recipe", 256)).alias("_r"), F.length("recipe").alias("_len"), F.monotonically_increasing_id().alias("_row"))
     best = F.min(F.struct((-F.col("n_points")).alias("a"), F.isnull("doc_id").alias("b"), F.col("doc_id").alias("c"), F.col("_row").alias("d")))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterloom.llm.common import cut, slices
+from rosterloom.llm.common import cut, mapped, slices
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)|[^<]+|<", re.S)
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
@@ -252,7 +252,7 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def winners(pages: DataFrame) -> DataFrame:
     """(host, path): the path with most votes of each host of ``pages`` (host, html)."""
-    votes = pages.select("host", "html").mapInArrow(_votes, "host string, path string, votes double")
+    votes = mapped(pages.select("host", "html"), _votes, "host string, path string, votes double")
     sums = votes.groupBy("host", "path").agg(F.round(F.sum("votes"), 6).alias("votes"))
     first = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path"))
     return sums.withColumn("_n", first).where("_n = 1").select("host", "path")
@@ -278,4 +278,4 @@ def main_text(pages: DataFrame) -> DataFrame:
             texts = [extract(h or "", p) for h, p in zip(batch.column("html").to_pylist(), batch.column("path").to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return mapped(rows, run, schema)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterloom.llm.common import cut, slices, texts_of
+from rosterloom.llm.common import cut, mapped, slices, texts_of
 from rosterloom.llm.words import Table, words_of
 
 WORDS, BUCKETS, WIDTH = 256, 64, 16
@@ -126,7 +126,7 @@ def vocabulary(docs: DataFrame, words: int = WORDS, buckets: int = BUCKETS, leas
     """From the counts of all words of all documents, with a table (h, n) of the
     hashes and counts of those that aren't known. Only the ``known`` most frequent
     words and one number for each bucket (a power of two) reach the driver."""
-    sums = docs.mapInArrow(_counted, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    sums = mapped(docs, _counted, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     counts = cut(sums)
     # the least count from which there are at most so many words, by a histogram of counts
     steps = counts.groupBy(F.floor(F.log2("n") * 16).alias("s")).agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("n")).orderBy(F.desc("s")).collect()
@@ -305,10 +305,10 @@ def fit(docs: DataFrame) -> tuple[Vocabulary, DataFrame, np.ndarray | None]:
     None without words."""
     texts = docs.select("text").where("text is not null")
     (words, rare), flat = vocabulary(texts), None
-    ids = cut(texts.mapInArrow(_encoded(words), "ids binary"))
+    ids = cut(mapped(texts, _encoded(words), "ids binary"))
     parts = ids.rdd.getNumPartitions()
     for turn in range(ROUNDS):
-        copies = ids.mapInArrow(_train(words, flat, turn), "part long, places long, sums binary")
+        copies = mapped(ids, _train(words, flat, turn), "part long, places long, sums binary")
         got = average(copies, parts)
         flat = flat if got is None else got
     return words, rare, flat
@@ -342,7 +342,7 @@ def score(docs: DataFrame, model: tuple[Vocabulary, DataFrame, np.ndarray | None
             rare = pa.ListArray.from_arrays(pa.array(before, pa.int32()), pa.array(keys[unknown].view(np.int64)))
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(np.diff(first).astype(np.int64)), pa.array(sums), rare], schema.names)
 
-    made = cut(rest.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()))
+    made = cut(mapped(rest, run, schema).withColumn("row", F.monotonically_increasing_id()))
     # the KNOWN words before are all more frequent, so no key is heavy
     met = made.select("row", F.explode("rare").alias("h")).join(counts, "h")
     more = met.groupBy("row").agg(F.sum(F.log(F.col("n").cast("double"))).alias("more"))

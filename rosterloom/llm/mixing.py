@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterloom.llm.common import cut
+from rosterloom.llm.common import cut, sent
 
 #: Words as the contract counts them; each is a token of the mix.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -107,15 +107,20 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 
 
 def apply_mix(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: the columns of ``docs``, each row as often as taken.
-
-    Rows that agree in key, source and size share their copies out by order of
-    appearance; all other rows meet their own count."""
+    """The mix itself: the columns of ``docs``, each row as often as taken. Rows that
+    agree in key, source and size share their copies out by order of appearance.
+    Nulls, documents without words and empty tables are as in ``mix``. Counts are
+    sent to the rows; texts don't move while the counts can be broadcast."""
     key, text, source = (options.get(k, v) for k, v in (("key", "doc_id"), ("text", "text"), ("source", "source")))
-    alike = lambda cols, last: F.row_number().over(Window.partitionBy(*cols).orderBy(last))
-    counts = mix(docs, **options).select(F.col(key).alias("_k"), F.col(source).alias("_s"), F.col("size").alias("_n"), F.col("copies").alias("_c"))
-    counts = counts.withColumn("_i", alike(("_k", "_s", "_n"), F.desc("_c"))).where("_c > 0")
+    counts = cut(mix(docs, **options).select(F.col(key).alias("_k"), F.col(source).alias("_s"), F.col("size").alias("_n"), F.col("copies").alias("_c")))
+    alike = counts.groupBy("_k", "_s", "_n").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi"))
     rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).alias("_k2"), F.col(source).cast("string").alias("_s2"), word_count(text).alias("_n2"))
-    rows = rows.withColumn("_i2", alike(("_k2", "_s2", "_n2"), F.monotonically_increasing_id()))
-    met = F.expr("_k2 <=> _k and _s2 <=> _s and _n2 = _n and _i2 = _i")
-    return rows.join(counts, met).withColumn("_", F.explode(F.sequence(F.lit(1), F.col("_c")))).select("_row.*")
+    met = F.expr("_k2 <=> _k and _s2 <=> _s and _n2 = _n")
+    taken = rows.join(sent(cut(alike.where("_lo = _hi and _lo > 0").select("_k", "_s", "_n", F.col("_lo").alias("_c")))), met).select("_row", "_c")
+    uneven = cut(alike.where("_lo < _hi").select("_k", "_s", "_n"))
+    if not uneven.isEmpty():
+        ranked = lambda df, cols, last: df.withColumn("_i", F.row_number().over(Window.partitionBy(*cols).orderBy(last)))
+        some = ranked(counts.join(sent(uneven).select(F.col("_k").alias("_k2"), F.col("_s").alias("_s2"), F.col("_n").alias("_n2")), met, "left_semi"), ("_k", "_s", "_n"), F.desc("_c")).where("_c > 0")
+        own = ranked(rows.join(sent(uneven), met, "left_semi"), ("_k2", "_s2", "_n2"), F.monotonically_increasing_id()).withColumnRenamed("_i", "_i2")
+        taken = taken.unionByName(own.join(some, met & F.expr("_i2 = _i")).select("_row", "_c"))
+    return taken.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("_c")))).select("_row.*")

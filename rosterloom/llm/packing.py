@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterloom.llm import words
-from rosterloom.llm.common import cut, kept, slices, texts_of
+from rosterloom.llm.common import cut, kept, mapped, slices, texts_of
 
 SEQUENCE = 2048
 
@@ -165,7 +165,7 @@ class Encoder:
     of marks; each distinct part is encoded once. The store of known parts is
     emptied when it is full."""
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 700_000):
         self.tokenizer, self.most = _tokenizer(path), most
         self._empty()
 
@@ -283,7 +283,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, with_ids: bool
     empty one is the single id 0."""
     key = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {key}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select("doc_id", "text").mapInArrow(_pieces(tokenizer, size, with_ids), schema)
+    return mapped(docs.select("doc_id", "text"), _pieces(tokenizer, size, with_ids), schema)
 
 
 def pack(made: DataFrame, size: int = SEQUENCE) -> DataFrame:
@@ -310,4 +310,4 @@ def pack(made: DataFrame, size: int = SEQUENCE) -> DataFrame:
             got = places(sent.value, *(np.asarray(batch.column(c), np.int64) for c in ("_n", "_rank")))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], *map(pa.array, got)], schema.names)
 
-    return ranked.select(*(f"c{i}" for i in range(len(rest))), "_n", "_rank").mapInArrow(run, schema)
+    return mapped(ranked.select(*(f"c{i}" for i in range(len(rest))), "_n", "_rank"), run, schema)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterloom.llm.common import crc_of_id, give_back, kept, slices, texts_of
+from rosterloom.llm.common import crc_of_id, give_back, kept, mapped, slices, texts_of
 
 #: Labelled rows to train on at most, drawn by a hash of doc_id; a bound on the driver's work.
 SAMPLE = 12_000
@@ -184,7 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias])], ["weights", "bias"])
 
     # the sample is bounded: one task trains on it, and only the model comes to the driver
-    made = rows.repartition(1).mapInArrow(run, "weights binary, bias double").first()
+    made = mapped(rows.repartition(1), run, "weights binary, bias double").first()
     return Model(np.frombuffer(made["weights"], np.float32), made["bias"]) if made else train([], [])
 
 
@@ -205,4 +205,4 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
             columns = [*batch.columns, pa.array(got, pa.float64()), pa.array((got >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "score", "predicted"])
 
-    return rest.mapInArrow(run, schema)
+    return mapped(rest, run, schema)

@@ -98,9 +98,9 @@ class Table:
     def add(self, keys: np.ndarray, values: np.ndarray) -> None:
         """Distinct keys that aren't there yet."""
         self.size += len(keys)
-        if 3 * self.size > len(self.keys):
+        if 2 * self.size > len(self.keys):
             old, known = self.keys != 0, (self.keys, self.values)
-            bits = max(self.bits + 1, (3 * self.size).bit_length())
+            bits = max(self.bits + 1, (2 * self.size).bit_length())
             self.__init__(bits)
             self.size = int(old.sum()) + len(keys)
             self._put(known[0][old], known[1][old])
