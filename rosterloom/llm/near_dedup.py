@@ -32,11 +32,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterloom.llm.common import cut, digest, keep_rows, kept, sent, slices, texts_of
+from rosterloom.llm.common import cut, digest, keep_rows, kept, mapped, sent, slices, texts_of
+from rosterloom.llm.words import CASELESS, words_of
 
 WORDS, THRESHOLD = 5, 80
 #: Bands and values in each; the second pair is for clusters that are too large for one task.
@@ -48,32 +48,33 @@ CHUNK, HUBS = 1 << 20, 32
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    known = kept("shingle words", dict)
-    try:
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    except KeyError:
-        if len(known) > 300_000:
-            known.clear()
-        for w in set(words):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
+    """Of each text the sorted hashes of its distinct shingles of ``words`` words
+    (A-Z in lower case, parted by ASCII blanks); a shorter text is one shingle, one
+    without words none."""
+    each, first = words_of([t.encode("utf-8", "surrogatepass") for t in texts], CASELESS)
+    made = np.full(max(len(each) - words + 1, 0), words, np.uint64)
+    for i in range(words):
+        made = _joined(made, each[i : len(made) + i])
+    out = []
+    for a, b in zip(first.tolist(), first[1:].tolist()):
+        if b - a >= words:
+            out.append(np.unique(made[a : b - words + 1]))
+        else:
+            whole = np.full(min(b - a, 1), b - a, np.uint64)
+            for i in range(a, b):
+                whole = _joined(whole, each[i : i + 1])
+            out.append(whole)
+    return out
+
+
+def _joined(made: np.ndarray, word: np.ndarray) -> np.ndarray:
+    made = (made ^ word) * _MIX
+    return made ^ (made >> np.uint64(32))
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
-    """Sorted hashes of a text's distinct shingles of ``words`` words (A-Z in lower
-    case, parted by ASCII blanks); a shorter text is one shingle, one without
-    words none."""
-    split = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not split:
-        return np.zeros(0, np.uint64)
-    each = _hashes(split)
-    k = min(words, len(each))
-    made = np.full(len(each) - k + 1, k, np.uint64)
-    for i in range(k):
-        made = (made ^ each[i : len(each) - k + 1 + i]) * _MIX
-        made ^= made >> np.uint64(32)
-    return np.unique(made)
+    return shingle_sets([text or ""], words)[0]
 
 
 @lru_cache(4)
@@ -124,13 +125,12 @@ def _set_id(made: np.ndarray) -> bytes:
 
 def _sets(words: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 20):
             done = kept(f"bands {words} {bands} {rows}", dict)
             if len(done) > 20_000:
                 done.clear()
             n, ids, keys = [], [], []
-            for text in texts_of(batch):
-                made = shingles(text, words)
+            for made in shingle_sets(texts_of(batch), words):
                 n.append(len(made))
                 ids.append(_set_id(made) if len(made) else None)
                 if len(made) and ids[-1] not in done:
@@ -146,8 +146,8 @@ def _fetched(words: int):
     """The sets of wanted rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            made = [shingles(t, words).tobytes() for t in texts_of(batch)]
+        for batch in slices(batches, "text", 1 << 20):
+            made = [x.tobytes() for x in shingle_sets(texts_of(batch), words)]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(made, pa.binary())], ["node", "shingles"])
 
     return run
@@ -288,7 +288,7 @@ class Groups:
         self.docs = docs.select("doc_id", "text", digest().alias("digest"))
         self.words, self.threshold, self.levels, self.chunk = words, threshold, levels, chunk
         key = docs.schema["doc_id"].dataType.simpleString()
-        made = self.docs.mapInArrow(_sets(words, *levels[0]), f"doc_id {key}, digest binary, n_shingles long, set_id binary, keys array<long>")
+        made = mapped(self.docs, _sets(words, *levels[0]), f"doc_id {key}, digest binary, n_shingles long, set_id binary, keys array<long>")
         self.made = cut(made.withColumn("row", F.monotonically_increasing_id()))
         own = self.made.where("n_shingles > 0").groupBy("set_id")
         # copies meet here as one node; partial aggregation combines them before the shuffle
@@ -299,7 +299,7 @@ class Groups:
         """(node, shingles) of the nodes in ``wanted``."""
         rows = wanted.select("node").join(self.nodes.select("node", F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")), "node")
         found = self.docs.join(sent(cut(rows)), F.col("digest").eqNullSafe(F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-        return found.select("node", "text").mapInArrow(_fetched(self.words), "node long, shingles binary")
+        return mapped(found.select("node", "text"), _fetched(self.words), "node long, shingles binary")
 
     def clusters(self, banded: DataFrame) -> DataFrame:
         """(node, cluster): what buckets of ``banded`` (node, keys) connect; nodes
@@ -316,7 +316,7 @@ class Groups:
 
     def settle(self, rows: DataFrame) -> DataFrame:
         dealt = rows.repartition("cluster", "chunk").sortWithinPartitions("cluster", "chunk", "guest", "node")
-        return dealt.select("cluster", "chunk", "guest", "node", "comp", "shingles").mapInArrow(_settle(self.threshold), "a long, b long")
+        return mapped(dealt.select("cluster", "chunk", "guest", "node", "comp", "shingles"), _settle(self.threshold), "a long, b long")
 
     def run(self) -> DataFrame:
         """(node, comp): the least node of each node's component, for nodes with links."""
@@ -327,7 +327,7 @@ class Groups:
             if large.isEmpty():
                 break
             again = clusters.join(large, "cluster", "left_semi")
-            sharper = self.clusters(self.fetch(again).mapInArrow(_banded(*level), "node long, keys array<long>"))
+            sharper = self.clusters(mapped(self.fetch(again), _banded(*level), "node long, keys array<long>"))
             clusters = cut(clusters.join(large, "cluster", "left_anti").select("node", "cluster").unionByName(sharper))
             sizes = self.sizes(clusters)
 
