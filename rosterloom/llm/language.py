@@ -10,6 +10,7 @@ the models haven't seen.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterloom.llm.common import crc_of_id, slices, texts_of
+from rosterloom.llm.common import crc_of_id, mapped, slices, texts_of
 
 #: Documents of each language to learn from on average, drawn by a hash of doc_id.
 SAMPLE = 400
@@ -178,7 +179,8 @@ def learn(texts: list[str], langs: list[str]) -> Identifier:
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Identifier:
     """Learn from about ``sample`` documents of each language that are not held out
-    (crc32 of doc_id as text mod 4 is not 2) and have a text and a language."""
+    (crc32 of doc_id as text mod 4 is not 2) and have a text and a language. Rows that
+    agree in doc_id and text are drawn together; an empty table teaches nothing."""
     known = docs.select("doc_id", "text", F.col("lang").alias("_l")).where("text is not null and _l is not null").where(crc_of_id() % 4 != 2)
     counts = {r[0]: r[1] for r in known.groupBy("_l").count().collect()}
     if not counts:
@@ -186,9 +188,15 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Identifier:
     part = lambda n: int(min(1.0, sample / n) * (1 << 30))
     rate = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, part(n))])
     some = known.where(F.pmod(F.xxhash64(F.lit("lang"), "doc_id", "text"), F.lit(1 << 30)) < rate[F.col("_l")])
-    got = some.toArrow().to_pydict()
-    order = sorted(range(len(got["_l"])), key=lambda i: (got["doc_id"][i] or 0, got["text"][i]))
-    return learn([got["text"][i] for i in order], [got["_l"][i] for i in order])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [(i or 0, t, lang) for b in batches for i, t, lang in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "_l")))]
+        found.sort()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(learn([t for _, t, _ in found], [lang for *_, lang in found]))], pa.binary())], ["model"])
+
+    # the sample is bounded: one task learns from it, and only the models come to the driver
+    made = mapped(some.repartition(1), run, "model binary").first()
+    return pickle.loads(made["model"]) if made else Identifier({})
 
 
 def identify(docs: DataFrame, model: Identifier) -> DataFrame:
@@ -204,4 +212,4 @@ def identify(docs: DataFrame, model: Identifier) -> DataFrame:
             lang, score, rejected = sent.value.predict(texts_of(batch))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected)], [*batch.schema.names, "lang_pred", "score", "rejected"])
 
-    return rest.mapInArrow(run, schema)
+    return mapped(rest, run, schema)
