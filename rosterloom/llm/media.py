@@ -8,6 +8,7 @@ any other image, and dimensions and a thumbnail hash are kept as features.
 from __future__ import annotations
 
 import hashlib
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from rosterloom.llm import jpeg
-from rosterloom.llm.common import slices, texts_of
+from rosterloom.llm.common import mapped, slices, texts_of
 
 
 def payload_of(text: str | None) -> bytes:
@@ -50,6 +51,20 @@ def features(data: bytes, scans: list[jpeg.Scan], images: list[np.ndarray]) -> s
     return f"jpeg:{scans[0].width}x{scans[0].height}:{len(scans)}:" + ",".join(map(thumbnail_hash, images)) if scans else "none"
 
 
+#: What any bytes may raise that are no baseline JPEG.
+_BROKEN = (ValueError, LookupError, ArithmeticError, MemoryError, TypeError, struct.error)
+
+
+def images(files: list[list[jpeg.Scan] | None]) -> list[list[np.ndarray]]:
+    """The decoded images of each file, none of a file whose scans are broken."""
+    try:
+        flat = iter(jpeg.thumbnails([s for scans in files for s in scans or ()]))
+        return [[next(flat) for _ in scans or ()] for scans in files]
+    except _BROKEN:
+        # one by one, so that a broken file takes no other along
+        return [[]] if len(files) == 1 else [images([scans])[0] for scans in files]
+
+
 def encode(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, media): each text of ``docs`` (doc_id, text) as a JPEG."""
     schema = T.StructType([docs.schema["doc_id"], T.StructField("n_bytes", T.LongType()), T.StructField("media", T.BinaryType())])
@@ -60,7 +75,7 @@ def encode(docs: DataFrame) -> DataFrame:
             sizes = [len(t.encode("utf-8", "surrogatepass")) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(jpeg.write([payload_of(t) for t in texts]), pa.binary())], schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return mapped(docs.select("doc_id", "text"), run, schema)
 
 
 def decode(media: DataFrame, with_payload: bool = False) -> DataFrame:
@@ -85,14 +100,12 @@ def decode(media: DataFrame, with_payload: bool = False) -> DataFrame:
             for data in batch.column("media").to_pylist():
                 try:
                     parsed.append((data, jpeg.parse(data) if data else None))
-                except (ValueError, KeyError, IndexError):
+                except _BROKEN:
                     parsed.append((data, None))
-            thumbs, rows, at = jpeg.thumbnails([s for _, scans in parsed for s in scans or ()]), [], 0
-            for data, scans in parsed:
-                n = len(scans or ())
-                rows.append(one(data, scans, thumbs[at : at + n]))
-                at += n
+            rows = []
+            for (data, scans), thumbs in zip(parsed, images([scans for _, scans in parsed])):
+                rows.append(one(data, scans if thumbs else None, thumbs))
             columns = [batch.column(f.name) for f in rest] + [pa.array([r[k] for r in rows], {"payload": pa.binary()}.get(n, pa.string() if isinstance(t, T.StringType) else pa.int32() if isinstance(t, T.IntegerType) else pa.int64())) for k, (n, t) in enumerate(own)]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return media.mapInArrow(run, schema)
+    return mapped(media, run, schema)
