@@ -68,6 +68,9 @@ def test_identifiers_that_clash_are_told_apart(docs):
     made = docs.sparkSession.createDataFrame(texts, "doc_id long, text string")
     got = exact_dedup.exact_groups(made, width=1)
     assert got.where("kept").count() == len({t.replace(" ", "") for _, t in texts})
+    # and rows without a doc_id are no exception
+    got = exact_dedup.exact_groups(made.withColumn("doc_id", F.lit(None).cast("long")), width=1)
+    assert got.where("kept").count() == len({t.replace(" ", "") for _, t in texts})
 
 
 def test_mix(docs, none):
@@ -137,6 +140,61 @@ def test_chains_of_near_copies_are_one_component(spark):
     assert {r["component_id"] for r in got.collect()} == {61}
 
 
+def exact_links(sets, threshold):
+    """All links, by the rarest shingles of each set (a set and any that it is linked
+    with share one of them)."""
+    often = Counter(x for s in sets for x in s.tolist())
+    index, links = defaultdict(list), []
+    for i in sorted(range(len(sets)), key=lambda i: len(sets[i])):
+        rare = sorted(sets[i].tolist(), key=lambda x: (often[x], x))
+        first = rare[: len(rare) - -(-threshold * len(rare) // 100) + 1]
+        links += [(i, j) for j in sorted({j for x in first for j in index[x]}) if near_dedup.linked(sets[i], sets[j], threshold)]
+        for x in first:
+            index[x].append(i)
+    return links
+
+
+@pytest.mark.parametrize("words, options", [(2, {}), (2, {"chunk": 3000}), (5, {}), (2, {"chunk": 3000, "levels": near_dedup.LEVELS[:1]})])
+def test_no_link_of_a_table_is_lost(spark, words, options):
+    """Components of a whole table against an exact join: recall of links is 1."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = docs.collect()
+    sets = [near_dedup.shingles(r["text"], words) for r in rows]
+    at = {r["doc_id"]: r["doc_id"] for r in rows}
+
+    def root(x):
+        while at[x] != x:
+            x = at[x]
+        return x
+
+    links = exact_links(sets, 80)
+    for i, j in links:
+        a, b = root(rows[i]["doc_id"]), root(rows[j]["doc_id"])
+        at[max(a, b)] = min(a, b)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(docs, words=words, **options).collect()}
+    assert links and got == {x: root(x) for x in at}
+
+
+def test_rows_without_an_id_link_others(spark):
+    words = [f"w{i}" for i in range(200)]
+    text = lambda k: " ".join(words[k * 5 : k * 5 + 60])
+    rows = [(5, text(0)), (None, text(1)), (7, text(2)), (None, "quite another text of a row without an id"), (None, None)]
+    got = near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
+    assert Counter((r["doc_id"], r["component_id"]) for r in got) == Counter([(5, 5), (None, 5), (7, 5), (None, None), (None, None)])
+
+
+def test_near_copies_go_by_row(spark):
+    a, b = " ".join(f"alpha{i}" for i in range(40)), " ".join(f"one{i}" for i in range(40))
+    rows = [(1, a, "x"), (1, b, "y"), (0, b + " end", "z"), (None, a, "n"), (4, a, "x"), (4, a, "x"), (None, "", "e"), (None, None, "e")]
+    got = near_dedup.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string, _row string")).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter([(1, a), (0, b + " end"), (None, ""), (None, None)])
+    # of rows that agree in identifier and text one stays
+    got = near_dedup.drop_near_copies(spark.createDataFrame(rows[4:6], "doc_id long, text string, _row string")).collect()
+    assert [(r["doc_id"], r["_row"]) for r in got] == [(4, "x")]
+    got = exact_dedup.drop_copies(spark.createDataFrame([(4, a, "x"), (4, a, "x"), (None, a + " ", "n"), (None, b, "n"), (2, b, "n")], "doc_id long, text string, _row string")).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter([(None, a + " "), (2, b)])
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 20)] + [(100, 105), (105, 103), (7, 7)]
     got = dict(near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect())
@@ -171,6 +229,20 @@ def test_base_phrases_against_a_plain_count(spark):
         assert r["base_labels"] == ",".join(sorted({n for _, n in at}))
 
 
+def test_many_detections_in_one_text(spark):
+    """Several blocks of matches, against a plain count; other columns stay."""
+    text = "MIT License, Apache License 2.0. " * 500 + "gnu general public license version 2"
+    rows = licenses.scan(spark.createDataFrame([(1, text, 5, 6)], "doc_id long, text string, _all int, _kept int"))
+    assert rows.columns == ["doc_id", "text", "_all", "_kept", "n_words", "detections"]
+    r = licenses.digest(rows).first()
+    assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == (500 * 6 + 6, 1001, 0, 3000, "apache,gpl,mit")
+    found = rows.first()["detections"]
+    plain = re.sub("[^a-z0-9]+", " ", text.lower()).strip()
+    for d in found:
+        assert plain[d["start"] - 1 : d["end"] - 1].split()[0] == plain.split()[d["word"]]
+    assert sorted(d["word"] for d in found if d["label"] == "mit" and d["base"]) == [6 * i for i in range(500)]
+
+
 def test_overlapping_detections(spark):
     rules = [license_rules.Rule(20, "weak", "x", "x y"), license_rules.Rule(10, "strong", "x", "x y z"), license_rules.Rule(5, "apart", "q", "q"), license_rules.Rule(50, "base", "x", "x", True)]
     row = licenses.scan(spark.createDataFrame([("x y z q x y",)], "text string"), rules=rules).first()
@@ -181,7 +253,8 @@ def test_packing(docs, none):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(VOCABULARY)
-    rows = packing.pack(packing.pieces(docs, VOCABULARY), block=4).collect()
+    rows = packing.pack(packing.pieces(docs, VOCABULARY).withColumn("_n", F.lit("own"))).collect()
+    assert {r["_n"] for r in rows} == {"own"}
     of = defaultdict(list)
     for r in rows:
         of[r["doc_id"]].append(r)
@@ -201,12 +274,21 @@ def test_packing(docs, none):
     assert packing.pack(packing.pieces(none, VOCABULARY)).count() == 0
 
 
-def test_packing_wastes_little(spark):
-    rng = np.random.default_rng(1)
-    lengths = rng.integers(1, 2048, 5000)
-    made = spark.createDataFrame([(i, 0, int(n), 0) for i, n in enumerate(lengths)], "doc_id long, piece int, length long, ids_crc32 long")
-    used = packing.pack(made, block=2500).select("sequence_id").distinct().count()
-    assert used <= 1.02 * lengths.sum() / 2048
+def test_packing_is_that_of_all_pieces_at_once(spark):
+    """As many sequences as best-fit decreasing over a plain list, however the table is dealt."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    made = packing.pieces(docs, VOCABULARY, with_ids=False).repartition(7).persist()
+    lengths = sorted((r["length"] for r in made.select("length").collect()), reverse=True)
+    rooms = []
+    for n in lengths:
+        fits = [(r, b) for b, r in enumerate(rooms) if r >= n]
+        if fits:
+            rooms[min(fits)[1]] -= n
+        else:
+            rooms.append(2048 - n)
+    got = packing.pack(made).groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"), F.countDistinct("offset").alias("offsets"), F.count(F.lit(1)).alias("rows")).collect()
+    assert sorted(2048 - r["n"] for r in got) == sorted(rooms)
+    assert all(r["n"] == r["end"] and r["offsets"] == r["rows"] for r in got)
 
 
 def test_media(docs, none):
@@ -223,6 +305,19 @@ def test_media(docs, none):
     assert {r["feature"] for r in media.decode(odd).collect()} == {"none"}
 
 
+def test_broken_media_take_no_others_along(spark):
+    rng = np.random.default_rng(2)
+    good = bytes(media.encode(spark.createDataFrame([(1, "a text")], "doc_id long, text string")).first()["media"])
+    files = [good, b"\xff\xd8\xff\xdd\x00\x02", b"", None, b"\xff\xd8\xff\xd9", good[:-40]] + [bytes(rng.integers(0, 256, 50, dtype=np.uint8)) for _ in range(20)]
+    for k in range(120):
+        bad = bytearray(good)
+        bad[rng.integers(2, len(good))] = rng.integers(0, 256)
+        files.append(bytes(bad))
+    rows = media.decode(spark.createDataFrame([(i, f) for i, f in enumerate(files + [good])], "doc_id long, media binary").coalesce(1)).orderBy("doc_id").collect()
+    assert len(rows) == len(files) + 1 and rows[0]["payload_sha256"] == rows[-1]["payload_sha256"] == hashlib.sha256(media.payload_of("a text")).hexdigest()
+    assert [r["feature"] for r in rows[1:5]] == ["none"] * 4
+
+
 def test_toxicity_of_odd_rows(docs, none, spark):
     labels = spark.createDataFrame([(1, 0), (2, 1), (7, None), (None, 1), (99, 1)], "doc_id long, toxic int")
     rows = toxicity.score(docs, toxicity.fit(docs, labels)).collect()
@@ -247,19 +342,59 @@ def test_masked_lm_of_odd_rows(docs, none):
 
 def test_every_word_is_scored_as_itself(spark):
     """Words of one bucket differ by their own counts in the corpus."""
-    rare = [w for w in (f"rare{i}" for i in range(2000)) if zlib.crc32(w.encode()) % masked_lm.BUCKETS == 3][:3]
+    bucket = lambda w: int(masked_lm.hashes([w])[0][0]) % masked_lm.BUCKETS
+    rare = [w for w in (f"rare{i}" for i in range(2000)) if bucket(w) == 3][:3]
     often = [f"w{i:03}" for i in range(masked_lm.WORDS)]
     rows = [(i, " ".join(often)) for i in range(20)] + [(100 + i, rare[0]) for i in range(9)] + [(200, rare[1])]
     table = spark.createDataFrame(rows, "doc_id long, text string")
-    words, counts = masked_lm.vocabulary(table.select("text"), least=15)
+    words, counts = masked_lm.vocabulary(table.select("text"), least=15, known=masked_lm.WORDS)
     assert words.words == masked_lm.WORDS and sorted(r["n"] for r in counts.collect()) == [1, 9]
-    # a lower bound gives more vectors
+    # a lower bound gives more vectors, up to the most that there may be
     assert masked_lm.vocabulary(table.select("text"), least=5)[0].words == masked_lm.WORDS + 1
+    assert masked_lm.vocabulary(table.select("text"), least=5, vectors=9)[0].words == 9
     asked = spark.createDataFrame([(i, w) for i, w in enumerate(rare)], "doc_id long, text string")
+    # whether counts are at hand or joined
     for least in (15, 5):
-        words, counts = masked_lm.vocabulary(table.select("text"), least=least)
-        got = {r["doc_id"]: r["log_likelihood"] for r in masked_lm.score(asked, (words, counts, None)).collect()}
-        assert got[0] - got[1] == pytest.approx(np.log(9), abs=1e-5) and got[2] == pytest.approx(got[1])
+        for known in (masked_lm.WORDS, masked_lm.WORDS + 1, masked_lm.KNOWN):
+            words, counts = masked_lm.vocabulary(table.select("text"), least=least, known=known)
+            got = {r["doc_id"]: r["log_likelihood"] for r in masked_lm.score(asked, (words, counts, None)).collect()}
+            assert got[0] - got[1] == pytest.approx(np.log(9), abs=1e-5) and got[2] == pytest.approx(got[1])
+
+
+def test_masked_scores_beat_word_counts(spark):
+    """Half of a table scores the other half's words better than their counts alone do,
+    and a plain scorer gives the same sums."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    learned, held = docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1")
+    model = masked_lm.fit(learned)
+    got = {r["doc_id"]: r for r in masked_lm.score(held, model).collect()}
+    split = lambda t: [w for w in re.split(r"[\x20\x09-\x0D]+", (t or "").lower()) if w]
+    counts = Counter(w for r in learned.collect() for w in split(r["text"]))
+    total = sum(counts.values()) + masked_lm.BUCKETS
+    texts = {r["doc_id"]: split(r["text"]) for r in held.collect()}
+    plain = sum(np.log(max(counts[w], 1) / total) for ws in texts.values() for w in ws)
+    assert sum(r["log_likelihood"] for r in got.values()) > plain + 0.02 * sum(map(len, texts.values()))
+    words, _, flat = model
+    net = masked_lm.Network(words.size, classes=words.classes).load(flat)
+    number = {int(k): i for i, k in zip(words.table.values.tolist(), words.table.keys.tolist()) if k}
+    sizes = Counter()
+    own = words.classes - words.buckets - 1
+    keys = {w: int(masked_lm.hashes([w])[0][0]) for ws in [*texts.values(), counts] for w in ws}
+    for w, n in counts.items():
+        if number.get(keys[w], own) >= own:
+            sizes[keys[w] % words.buckets] += n
+    for i in sorted(texts)[:12]:
+        ws, sum_ = texts[i], 0.0
+        token = [number[keys[w]] if number.get(keys[w], words.words) < words.words else words.words + keys[w] % words.buckets for w in ws]
+        at = [words.size - 1] * 3 + token + [words.size - 1] * 3
+        for k, w in enumerate(ws):
+            h = np.tanh(sum(net.vector[at[k + 3 + d]] * net.place[j] for j, d in enumerate((-3, -2, -1, 1, 2, 3))))
+            logits = net.out @ h + net.bias
+            cls = words.class_of[token[k]]
+            sum_ += logits[cls] - logits.max() - np.log(np.exp(logits - logits.max()).sum())
+            if cls >= own:
+                sum_ += np.log(max(counts[w], 1) / (sizes[keys[w] % words.buckets] + 1))
+        assert got[i]["log_likelihood"] == pytest.approx(sum_, rel=1e-3, abs=1e-2) and got[i]["n_tokens"] == len(ws)
 
 
 def test_copies_are_averaged_in_a_tree(spark):
@@ -279,6 +414,20 @@ def test_pages(spark):
     assert html_text.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_pages_against_a_plain_reading(spark):
+    """The pages of the test tables keep their text in one article of paragraphs."""
+    import html
+
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r["page_id"]: r for r in html_text.main_text(rows.withColumns({"host": F.lit("own"), "path": F.col("page_id"), "c0": F.lit(1)})).collect()}
+    for r in rows.collect():
+        body = re.search(r"<article>(.*?)</article>", r["html"] or "", re.S)
+        blocks = re.split(r"</?(?:p|h1|ul|li|div)\b[^>]*>", body[1]) if body else []
+        texts = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br\b[^>]*>", " ", b))).split()) for b in blocks]
+        assert got[r["page_id"]]["text"] == "\n\n".join(t for t in texts if t)
+        assert (got[r["page_id"]]["host"], got[r["page_id"]]["path"], got[r["page_id"]]["c0"]) == ("own", r["page_id"], 1)
+
+
 def test_exact_query_equals_its_sql(spark):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{SF}/documents.parquet'")

@@ -58,12 +58,12 @@ def test_payload():
 
 
 @settings(max_examples=40, deadline=None)
-@given(st.lists(st.integers(0, 60), max_size=60))
+@given(st.lists(st.integers(1, 60), max_size=60))
 def test_best_fit_decreasing_is_the_plain_one(lengths):
     which, offset = packing.best_fit_decreasing(np.array(lengths, int), 60)
     rooms, want = [], {}
     for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
-        fits = [(r, b) for b, r in enumerate(rooms) if r >= lengths[i] and r > 0]
+        fits = [(r, b) for b, r in enumerate(rooms) if r >= lengths[i]]
         if fits:
             b = min(fits)[1]
         else:
@@ -72,7 +72,7 @@ def test_best_fit_decreasing_is_the_plain_one(lengths):
         want[i] = (b, 60 - rooms[b])
         rooms[b] -= lengths[i]
     # the same rooms are filled, whichever of equal bins is taken
-    assert len(set(which.tolist())) == len(rooms)
+    assert sorted(60 - np.bincount(which, lengths).astype(int) if lengths else []) == sorted(rooms)
     by = {}
     for i, n in enumerate(lengths):
         by.setdefault(int(which[i]), []).append((int(offset[i]), n))
@@ -85,16 +85,17 @@ def test_best_fit_decreasing_is_the_plain_one(lengths):
 
 
 def test_lengths_out_of_range():
-    with pytest.raises(ValueError):
-        packing.best_fit_decreasing(np.array([61]), 60)
+    for n in (0, 61):
+        with pytest.raises(ValueError):
+            packing.best_fit_decreasing(np.array([n]), 60)
 
 
 def test_encoder_gives_the_tokenizers_ids():
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(VOCABULARY)
-    texts = ["", " ", "It's a TEST's, don't! x2y '' ...", "Élan ÜBER ß ª 3² ½", "a<|endoftext|>b", "x\x1fy\x85z\xa0q r", "ΣΑΣ İK ﬁ", "é ́x", "日本語 text", "a\x0bb\x0cc", "".join(map(chr, range(1, 256)))]
-    small = packing.Encoder(VOCABULARY, words=5, parts=7)
+    texts = ["", " ", "It's a TEST's, don't! x2y '' ...", "Élan ÜBER ß ª 3² ½", "a<|endoftext|>b", "x\x1fy\x85z\xa0q r", "ΣΑΣ İK ﬁ", "é ́x", "日本語 text", "a\x0bb\x0cc", "".join(map(chr, range(1, 256))), "'sol l'rex 'LL've'd''t x'm. 'é 'l", "'", "'v", "'r"]
+    small = packing.Encoder(VOCABULARY, most=7)
     for encoder in (packing.Encoder(VOCABULARY), small):
         for _ in range(2):
             got = encoder.encode(texts)
@@ -136,6 +137,69 @@ def test_shingles_and_links(a, b, k):
     assert near_dedup.linked(ha, hb) == (bool(sa & sb) and 100 * len(sa & sb) >= 80 * len(sa | sb))
 
 
+def test_chunks_settle_as_pairs_do():
+    """Components and visits against all pairs; families of near copies, some of
+    which only their neighbours link."""
+    rng = np.random.default_rng(4)
+    sets = []
+    for _ in range(12):
+        base = rng.integers(0, 1 << 60, 60, dtype=np.uint64)
+        for _ in range(rng.integers(1, 9)):
+            own = base.copy()
+            own[: rng.integers(0, 12)] += np.uint64(rng.integers(1, 1000))
+            sets.append(np.unique(own[: rng.integers(50, 61)]))
+    links = np.array([[near_dedup.linked(a, b) for b in sets] for a in sets])
+    at = np.arange(len(sets))
+    for _ in sets:
+        at = np.array([at[links[i] | (np.arange(len(sets)) == i)].min() for i in range(len(sets))])
+    chunk = near_dedup.Chunk(sets)
+    assert chunk.components().tolist() == at.tolist() and len(set(at.tolist())) < len(sets)
+    for i, s in enumerate(sets):
+        assert chunk.visit(s).tolist() == np.flatnonzero(links[i]).tolist()
+    assert chunk.visit(np.array([5], np.uint64)).tolist() == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aAbé \t\n\x0b\x1c\u2028"), max_size=12), max_size=8))
+def test_words_side_by_side(texts):
+    from rosterloom.llm import words
+
+    plain = [[w for w in re.split(rb"[\x20\x09-\x0D]+", t.encode()) if w] for t in texts]
+    got, first = words.words_of([t.encode() for t in texts])
+    assert np.diff(first).tolist() == [len(p) for p in plain]
+    # equal words have equal hashes, and only those
+    assert len({(w, h) for w, h in zip((w for p in plain for w in p), got.tolist())}) == len({w for p in plain for w in p}) == len(set(got.tolist()))
+    low = words.words_of([t.encode().lower() for t in texts])[0]
+    assert words.words_of([t.encode() for t in texts], words.CASELESS)[0].tolist() == low.tolist()
+
+
+def test_long_words_and_tables():
+    from rosterloom.llm import words
+
+    # places that are 1024 apart count differently
+    long = [b"x" * 5000 + t + b"x" * 1023 for t in (b"ab", b"ba", b"a" + b"x" * 1023 + b"b", b"b" + b"x" * 1023 + b"a")]
+    got, _ = words.words_of(long)
+    assert len(set(got.tolist())) == 4 and got.tolist() == [words.words_of([t])[0][0] for t in long]
+    rng = np.random.default_rng(3)
+    keys = rng.permutation(np.arange(1, 200_001, dtype=np.uint64))
+    table = words.Table(4)
+    for part in np.split(keys[:150_000], 10):
+        assert (table.get(part) < 0).all()
+        table.add(part, (part * np.uint64(2)).astype(np.int32))
+    assert table.get(keys[:150_000]).tolist() == (keys[:150_000] * np.uint64(2)).tolist() and (table.get(keys[150_000:]) < 0).all()
+
+
+def test_stores_of_other_operators_go():
+    from rosterloom.llm import common
+
+    first = common.kept("one", dict)
+    first["x"] = 1
+    assert common.kept("one", dict) is first
+    common.kept("two", list)
+    assert common.kept("three", set, beside=("two",)) == set() and common.kept("two", list, beside=("three",)) == []
+    assert common.kept("one", dict) == {}
+
+
 def test_min_and_max_agree_as_often_as_sets_do():
     rng = np.random.default_rng(4)
     values = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
@@ -161,6 +225,20 @@ def test_raw_elements_end_at_their_own_tag(raw):
     assert html_text.extract(f"<html><head>{raw}</head><body><article><p>one two</p>{raw}<p>three</p></article></body></html>") == "one two\n\nthree"
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<div class="site-content has-sidebar no-comments"><article><p>All of it stays.</p></article></div>', "All of it stays."),
+    ("<p>text</p>", "text"), ("bare text", "bare text"), ("a &lt;b&gt; &amp;c", "a <b> &c"),
+    ("<body><p>x &am<b>p;</b>lt; y</p></body>", "x &amp;lt; y"),
+    ('<div id="search-results-explained"><p>How results of a search are found.</p></div>', "How results of a search are found."),
+    ('<article><div class="post-header"><h1>Title</h1></div><p>Body of the post.</p><div class="post-comments"><p>Nice!</p></div></article>', "Title\n\nBody of the post."),
+    ("<form id=f1><div class=content><p>" + "the whole page stands in a form " * 9 + "</p></div><input></form>", ("the whole page stands in a form " * 9).strip()),
+    ("<nav><a href=x>Home</a></nav><article><p>One two three.</p></article><div class='comments'><p>" + "a long reader comment " * 3 + "</p></div>", "One two three."),
+    ("<article><p>Main.</p><aside>Aside.</aside><div class='cookie-notice'>We use cookies.</div><div class='ad-slot'>Buy!</div></article>", "Main."),
+])
+def test_what_belongs_to_the_main_text(page, want):
+    assert html_text.extract(page) == want
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.text(alphabet="<>/pdiv \"'=&;!-ab", max_size=60))
 def test_any_page_is_read(page):
@@ -215,9 +293,9 @@ def test_toxicity_reads_long_runs_whole():
 
 
 def test_masked_network_learns():
-    words = masked_lm.Vocabulary(["a", "b", "c", "d"], [1, 1])
+    words = masked_lm.Vocabulary(masked_lm.hashes(["a b c d"])[0], np.full(4, 600), [1, 1])
     texts = ["a b c d " * 20] * 30
-    around, target, owner = masked_lm.windows([words.encode(t) for t in texts], words.size - 1)
+    around, target, owner = masked_lm.windows(words.encode(texts), words.size - 1)
     assert len(target) == 80 * 30 and owner[-1] == 29
     net = masked_lm.Network(words.size)
     before = net.log_probs(around, target).mean()
@@ -267,6 +345,10 @@ def test_each_form_of_a_licence_rule_holds_its_keyword():
         found = forms(_parser.parse(rule.regex))
         assert all(re.fullmatch(rule.regex, f) for f in found)
         assert [f for f in found if rule.keyword not in f] == [], rule
+        # and the rule is tried on each of them, as the words that stand there show
+        words = license_rules.keyword_words(rule)
+        assert words is None or [f for f in found if not set(words) & set(f.split())] == [], rule
+    assert sum(license_rules.keyword_words(r) is None for r in license_rules.RULES) < 5
 
 
 def test_ids_are_those_of_the_contract():
