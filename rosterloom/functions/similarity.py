@@ -1,39 +1,106 @@
-"""Token-sort similarity as a native expression: twice the longest common
-subsequence over the sum of lengths, in percent, of the sorted tokens.
+"""Token-sort similarity: twice the longest common subsequence over the sum of
+lengths, in percent, of the sorted tokens.
 
-It is SQL text rather than a UDF, so it also works within the lambdas of the
-greedy folds, where Python UDFs aren't allowed. ``tag`` keeps the lambda variables
-of nested uses apart.
+The subsequence's length is found bit by bit: one number holds a whole row of the
+table, so a comparison costs a few operations for each character. Built-in
+functions can only fold over the table's cells, which costs their square in
+copies; so comparisons run over Arrow batches, and each greedy merge of a record
+crosses to Python once.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def sorted_tokens_sql(text: str, tag: str) -> str:
-    return f"array_join(array_sort(filter(split({text}, '(?U)[\\\\s\\\\x1c-\\\\x1f]+'), t{tag} -> t{tag} != '')), ' ')"
+def common_subsequence(a: str, b: str) -> int:
+    """Length of the longest common subsequence."""
+    at: dict[str, int] = {}
+    for i, c in enumerate(a):
+        at[c] = at.get(c, 0) | 1 << i
+    whole = (1 << len(a)) - 1
+    row = whole
+    for c in b:
+        met = row & at.get(c, 0)
+        row = (row + met | row - met) & whole
+    return len(a) - row.bit_count()
+
 
+def tokens(text: str) -> str:
+    return " ".join(sorted(text.split()))
 
-def common_subsequence_sql(a: str, b: str, tag: str) -> str:
-    """Length of the longest common subsequence of two character arrays."""
-    cell = f"if(x{tag} = element_at({b}, j{tag}), element_at(r{tag}, j{tag}) + 1, greatest(element_at(r{tag}, j{tag} + 1), element_at(n{tag}, -1)))"
-    row = f"aggregate(sequence(1, size({b})), array(0), (n{tag}, j{tag}) -> array_append(n{tag}, {cell}))"
-    return f"element_at(aggregate({a}, array_repeat(0, size({b}) + 1), (r{tag}, x{tag}) -> {row}), -1)"
 
+@lru_cache(100_000)
+def _sorted_ratio(a: str, b: str, least: float) -> float:
+    if a == b:
+        return 100.0
+    total = len(a) + len(b)
+    # lengths alone bound the ratio
+    if not a or not b or 200.0 * min(len(a), len(b)) / total < least:
+        return 0.0
+    return 200.0 * common_subsequence(a, b) / total
 
-def ratio_sql(a: str, b: str, tag: str = "", least: float = 0) -> str:
-    """The ratio of two strings, 0 to 100. Pairs whose lengths alone keep them
-    under ``least`` give 0 without a comparison; equal ones give 100."""
-    p = f"p{tag}"
-    sides = f"struct({sorted_tokens_sql(a, 'a' + tag)} as a, {sorted_tokens_sql(b, 'b' + tag)} as b)"
-    lcs = common_subsequence_sql(f"split({p}.a, '')", f"split({p}.b, '')", tag)
-    total = f"(length({p}.a) + length({p}.b))"
-    body = f"case when {p}.a = {p}.b then 100.0D when length({p}.a) = 0 or length({p}.b) = 0 or 200.0D * least(length({p}.a), length({p}.b)) / {total} < {least} then 0.0D else 200.0D * {lcs} / {total} end"
-    return f"element_at(transform(array({sides}), {p} -> {body}), 1)"
+
+def ratio(a: str | None, b: str | None, least: float = 0) -> float | None:
+    """The ratio of two strings, 0 to 100; null if one is. Pairs whose lengths alone
+    keep them under ``least`` give 0 without a comparison; equal ones give 100."""
+    return None if a is None or b is None else _sorted_ratio(tokens(a), tokens(b), least)
 
 
 def token_sort_ratio(a: str, b: str) -> Column:
     """Ratio of two columns, by name."""
-    return F.expr(ratio_sql(a, b))
+
+    @F.pandas_udf("double")
+    def each(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series([ratio(x, y) for x, y in zip(left, right)], dtype="float64")
+
+    return each(F.col(a), F.col(b))
+
+
+def fuzzy_union(first: Column, more: Column, threshold: float) -> Column:
+    """The strings of ``first`` as they are and each of ``more`` that is like none so
+    far, whatever the case; sorted."""
+
+    def one(known: list, new: list) -> list:
+        out = list(known)
+        low = [None if x is None else tokens(x.lower()) for x in out]
+        for x in new:
+            key = None if x is None else tokens(x.lower())
+            if key is None or not any(k is not None and _sorted_ratio(k, key, threshold) >= threshold for k in low):
+                out.append(x)
+                low.append(key)
+        return sorted(out, key=lambda x: (x is None, x or ""))
+
+    @F.pandas_udf("array<string>")
+    def each(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None or y is None else one(x, y) for x, y in zip(left, right)], dtype=object)
+
+    return each(first, more)
+
+
+def greedy_picks(left: Column, right: Column, threshold: float) -> Column:
+    """For each string of ``left`` in turn, the number of the best one of ``right`` that
+    is still free and alike enough (ties: the first), or -1."""
+
+    def one(ours: list, theirs: list) -> list[int]:
+        keys, free, out = [tokens(t.lower()) for t in theirs], list(range(len(theirs))), []
+        for x in ours:
+            key, best, at = tokens(x.lower()), threshold, -1
+            for i in free:
+                score = _sorted_ratio(key, keys[i], threshold)
+                if score > best or score == best and at < 0:
+                    best, at = score, i
+            out.append(at)
+            if at >= 0:
+                free.remove(at)
+        return out
+
+    @F.pandas_udf("array<int>")
+    def each(ours: pd.Series, theirs: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None or y is None else one(x, y) for x, y in zip(ours, theirs)], dtype=object)
+
+    return each(left, right)

@@ -46,8 +46,12 @@ def match_tiered(ats: DataFrame, resumes: DataFrame) -> DataFrame:
     equi-joins stands for the disjunction, which would be a nested loop. A pair
     stays if it is the best of its candidate and of its résumé, by (tier, ids);
     what is left unmatched stays unmatched."""
-    tier = lambda df, n: df.withColumn("_t", F.lit(n))
-    both = tier(match_email(ats, resumes), 0).unionByName(tier(match_phone(ats, resumes), 1))
+    # both tiers' keys come from one pass over each side, so no document is parsed twice
+    key = lambda t, k: F.struct(F.lit(t).alias("_t"), k.alias("_k"))
+    one = F.array(key(0, F.when(F.col("email") != "", F.lower("email"))), key(1, phone_key(F.col("phone"))))
+    many = F.concat(F.transform("emails", lambda e: key(0, F.lower(e))), F.transform("phones", lambda p: key(1, phone_key(p))))
+    keys = lambda df, name, each: df.select(name, F.explode(each).alias("_e")).select(name, "_e.*").where("_k is not null").distinct()
+    both = keys(ats, "candidate_id", one).join(keys(resumes, "resume_id", many), ["_t", "_k"])
     best = both.groupBy("candidate_id", "resume_id").agg(F.min("_t").alias("_t"))
     of = lambda a, b: F.row_number().over(Window.partitionBy(a).orderBy("_t", b))
     ranked = best.withColumn("_a", of("candidate_id", "resume_id")).withColumn("_r", of("resume_id", "candidate_id"))

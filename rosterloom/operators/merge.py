@@ -1,6 +1,6 @@
 """Merge rules of a matched pair, as expressions over one row.
 
-Lists are merged by folds whose outcome depends on order, so they stay within the
+Lists are merged in an order on which the outcome depends, so they stay within the
 row: no explode, no shuffle.
 """
 
@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rosterloom.functions.dims import EDUCATION_THRESHOLD, EXPERIENCE_THRESHOLD, SKILL_THRESHOLD
-from rosterloom.functions.similarity import ratio_sql
+from rosterloom.functions.similarity import fuzzy_union, greedy_picks
 from rosterloom.functions.text import distinct_ignoring_case, truthy
 
 
@@ -48,19 +48,13 @@ def map_union(ats: Column, resume: Column) -> Column:
 
 def skill_union(ats: str, resume: str) -> Column:
     """The ATS's skills as they are, and each résumé skill that is like none so far."""
-    alike = f"exists(acc, y -> {ratio_sql('lower(y)', 'lower(x)', 's', SKILL_THRESHOLD)} >= {SKILL_THRESHOLD})"
-    return F.expr(f"aggregate({resume}, {ats}, (acc, x) -> if({alike}, acc, array_append(acc, x)), acc -> array_sort(acc))")
+    return fuzzy_union(F.col(ats), F.col(resume), SKILL_THRESHOLD)
 
 
 def greedy_match(ats: str, resume: str, key, threshold: float) -> Column:
     """For each ATS entry in turn, the number of the best résumé entry that is still
     free and alike enough (ties: the first), or -1."""
-    score = ratio_sql("lower(" + key("e") + ")", "lower(" + key("r") + ")", "g", threshold)
-    scored = f"transform(filter(transform({resume}, (r, i) -> struct(r as r, i as i)), f -> not array_contains(st.used, f.i)), f -> element_at(transform(array(f.r), r -> struct({score} as s, -f.i as i)), 1))"
-    best = f"array_max(filter({scored}, c -> c.s >= {threshold}))"
-    step = f"element_at(transform(array({best}), b -> struct(if(b is null, st.used, array_append(st.used, -b.i)) as used, array_append(st.picks, if(b is null, -1, -b.i)) as picks)), 1)"
-    start = "struct(cast(array() as array<int>) as used, cast(array() as array<int>) as picks)"
-    return F.expr(f"aggregate({ats}, {start}, (st, e) -> {step}, st -> st.picks)")
+    return greedy_picks(F.transform(ats, key), F.transform(resume, key), threshold)
 
 
 def _text(c: Column) -> Column:
@@ -68,7 +62,7 @@ def _text(c: Column) -> Column:
 
 
 def experience_picks(ats: str, resume: str) -> Column:
-    return greedy_match(ats, resume, lambda e: f"concat(coalesce({e}.title, ''), ' ', coalesce({e}.company, ''))", EXPERIENCE_THRESHOLD)
+    return greedy_match(ats, resume, lambda e: F.concat(_text(e["title"]), F.lit(" "), _text(e["company"])), EXPERIENCE_THRESHOLD)
 
 
 def experience_merge(ats: Column, resume: Column, picks: Column) -> Column:
@@ -94,7 +88,7 @@ def experience_merge(ats: Column, resume: Column, picks: Column) -> Column:
 
 
 def education_picks(ats: str, resume: str) -> Column:
-    return greedy_match(ats, resume, lambda e: f"coalesce({e}.institution, '')", EDUCATION_THRESHOLD)
+    return greedy_match(ats, resume, lambda e: _text(e["institution"]), EDUCATION_THRESHOLD)
 
 
 def education_merge(ats: Column, resume: Column, picks: Column) -> Column:

@@ -10,7 +10,15 @@ from rosterloom.functions.text import distinct_ignoring_case, let, strip, truthy
 
 
 def _lookup(table: dict[str, str], key: Column) -> Column:
-    return F.element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), key)
+    """The key's value. A map is searched entry by entry, so a large one is parted by
+    the keys' first two characters."""
+    mapped = lambda entries: F.create_map(*[x for k, v in entries.items() for x in (F.lit(k), v)])
+    if len(table) <= 64:
+        return F.element_at(mapped({k: F.lit(v) for k, v in table.items()}), key)
+    parts: dict[str, dict[str, Column]] = {}
+    for k, v in table.items():
+        parts.setdefault(k[:2], {})[k] = F.lit(v)
+    return F.element_at(F.element_at(mapped({k: mapped(p) for k, p in parts.items()}), F.substring(key, 1, 2)), key)
 
 
 def phone(raw: Column) -> Column:
@@ -33,17 +41,30 @@ def phone_list(raw: Column) -> Column:
     return F.transform(raw, phone)
 
 
+_DAY, _NUMBER = r"(?:0?[1-9]|[12]\d|3[01])", r"(0?[1-9]|1[0-2])"
+_NTH = rf"{_DAY}(?:st|nd|rd|th)?"
+#: Shapes of dates in lower case, with the groups of their year and month: year first, month and year, month or day first (a number over 12 is the day).
+_NUMERIC = (
+    (rf"^(\d{{4}})[-/.]{_NUMBER}(?:[-/.]{_DAY})?$", 1, 2), (rf"^{_NUMBER}[-/.](\d{{4}})$", 2, 1),
+    (rf"^{_NUMBER}[-/.]{_DAY}[-/.](\d{{4}})$", 2, 1), (rf"^(?:1[3-9]|2\d|3[01])[-/.]{_NUMBER}[-/.](\d{{4}})$", 2, 1),
+)
+_NAMED = ((rf"^(?:{_NTH}(?: of)?\s+)?([a-z]+)\.?,?\s+(?:{_NTH},?\s+)?(\d{{4}})$", 2, 1), (r"^(\d{4}),?\s+([a-z]+)\.?$", 1, 2))
+
+
 def date(raw: Column) -> Column:
-    """struct<value, ok>: YYYY-MM, a bare year, or null for what still goes on.
-    Missing input gives (null, false), anything else itself and false."""
+    """struct<value, ok>: YYYY-MM of a date with a month, in numbers or by its English
+    name, a bare year, or null for what still goes on. Missing input gives (null,
+    false), anything else itself and false."""
     text = strip(raw)
     low = F.lower(text)
-    month = _lookup(MONTHS, F.regexp_extract(low, r"^([a-z]+)\.?,?\s+\d{4}$", 1))
-    year = F.regexp_extract(low, r"(\d{4})$", 1)
-    iso = low.rlike(r"^\d{4}-(0[1-9]|1[0-2])$")
+    part = lambda shape, group: truthy(F.regexp_extract(low, shape, group))
+    found = [F.concat(part(shape, y), F.lit("-"), F.lpad(part(shape, m), 2, "0")) for shape, y, m in _NUMERIC]
+    found += [F.concat(part(shape, y), F.lit("-"), _lookup(MONTHS, part(shape, m))) for shape, y, m in _NAMED]
+    month = F.coalesce(*found)
+    year = low.rlike(r"^\d{4}$")
     missing, going = raw.isNull() | (text == ""), low.isin("present", "current", "now")
-    value = F.when(missing | going, F.lit(None)).when(low.rlike(r"^\d{4}$") | iso, low).when(month.isNotNull(), F.concat_ws("-", year, month)).otherwise(raw)
-    ok = ~missing & (going | low.rlike(r"^\d{4}$") | iso | month.isNotNull())
+    value = F.when(missing | going, F.lit(None)).when(year, low).otherwise(F.coalesce(month, raw))
+    ok = ~missing & (going | year | month.isNotNull())
     return F.struct(value.alias("value"), F.coalesce(ok, F.lit(False)).alias("ok"))
 
 

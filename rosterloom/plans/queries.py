@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterloom.functions import dims
 from rosterloom.functions.dims import EMAIL, FIELD_IMPORTANCE, PHONE
 from rosterloom.functions.similarity import token_sort_ratio
 from rosterloom.operators import extract, match, merge, normalize, project, scoring, sections, validate
@@ -64,10 +65,6 @@ def ats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: The only country names that the derived documents hold besides unknown ones.
-COUNTRIES = {"india": "IN", "germany": "DE"}
-
-
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
 
@@ -154,12 +151,12 @@ def date_range_norm(spark, sf_dir):
 
 
 def location_norm(spark, sf_dir):
-    made = base(spark, sf_dir).select("candidate_id", normalize.location(F.col("place"), COUNTRIES).alias("l"))
+    made = base(spark, sf_dir).select("candidate_id", normalize.location(F.col("place"), dims.countries(spark)).alias("l"))
     return made.select("candidate_id", "l.*")
 
 
 def _resumes(spark, sf_dir):
-    return pipeline.resumes(texts(spark, sf_dir), COUNTRIES)
+    return pipeline.resumes(texts(spark, sf_dir))
 
 
 def match_email(spark, sf_dir):

@@ -101,7 +101,7 @@ def test_config_rules(tmp_path):
 
 def test_batch_mode_keeps_unmatched_records(spark):
     ats = q.ats(spark, SF).where("k in (5, 6, 7)")
-    found = pipeline.resumes(q.texts(spark, SF).where("k in (6, 8)").select("resume_id", "raw_text"), q.COUNTRIES)
+    found = pipeline.resumes(q.texts(spark, SF).where("k in (6, 8)").select("resume_id", "raw_text"))
     rows = {r["candidate_id"]: r for r in pipeline.merge_pairs(pipeline.pair_up(ats, found, "batch")).collect()}
     assert {k: r["tier"] for k, r in rows.items()} == {"C5": None, "C6": "email", "C7": None}
     assert rows["C7"]["certifications"] == [] and rows["C6"]["certifications"]

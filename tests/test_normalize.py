@@ -20,6 +20,15 @@ def test_date(one, raw, value, ok):
     assert one(normalize.date, raw) == (value, ok)
 
 
+@pytest.mark.parametrize(("raw", "value", "ok"), [
+    ("03/2021", "2021-03", True), ("3-2021", "2021-03", True), ("2021/03", "2021-03", True), ("2021-03-15", "2021-03", True), ("2021.3.5", "2021-03", True),
+    ("03/15/2021", "2021-03", True), ("15/03/2021", "2021-03", True), ("15 March 2021", "2021-03", True), ("March 15, 2021", "2021-03", True), ("1st of Sept. 2020", "2020-09", True),
+    ("2021 March", "2021-03", True), ("13/2021", "13/2021", False), ("2021-13", "2021-13", False), ("Summer 2020", "Summer 2020", False), ("32 March 2021", "32 March 2021", False),
+])
+def test_other_shapes_of_dates(one, raw, value, ok):
+    assert one(normalize.date, raw) == (value, ok)
+
+
 @pytest.mark.parametrize(("a", "b", "want"), [("March 2021", "June 2023", ("2021-03", "2023-06", True)), ("March 2021", "Present", ("2021-03", None, True)), (None, None, (None, None, False)), (None, "December 2022", (None, "2022-12", True))])
 def test_date_range(one, a, b, want):
     assert one(normalize.date_range, a, b) == want
