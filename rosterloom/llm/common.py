@@ -23,15 +23,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; one of our own only where none is set."""
+    """The session's checkpoint folder; one of our own only where none is set and all
+    tasks run on this machine."""
     own = spark.conf.get("spark.checkpoint.dir", None)
     if own is None:
         if spark.sparkContext.getCheckpointDir() is None:
+            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rosterloom-"))
         own = spark.sparkContext.getCheckpointDir()
     return own.rstrip("/")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that was written for one run."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the folder that all executors share, so that a lost
     executor never forces (or changes) what has been computed before."""

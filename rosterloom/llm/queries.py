@@ -87,4 +87,16 @@ ORACLES = {
                sha256(norm) AS text_sha256
         FROM t WINDOW w AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
     """,
+    # links over the full sets, then what they reach; the sets join on every shingle
+    "op9_near_dedup": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1]))) END AS s FROM w),
+        e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+        pairs AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+        links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+        reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.r = links.a),
+        c AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+        SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
+    """,
 }
