@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from rosterloom.llm import exact_dedup, mixing, near_dedup, packing, toxicity
-from rosterloom.llm.common import shared_folder, table
+from rosterloom.llm.common import remove, shared_folder, table
 from rosterloom.llm.queries import tokenizer_path
 
 
@@ -55,8 +55,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows, read from its folder; the folders between are deleted."""
     docs, folder = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
         docs = spark.read.parquet(f"{folder}/{k}-{name}")
+        if k:
+            remove(spark, f"{folder}/{k - 1}-{STAGES[k - 1][0]}")
     return docs
