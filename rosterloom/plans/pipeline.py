@@ -6,6 +6,7 @@ one row. The only shuffle of a batch is the join that brings pairs together.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,14 +114,18 @@ def run_pair(spark: SparkSession, ats_path: str, resume_path: str, config_path:
     from rosterloom.sources import readers, sinks
 
     config = configs.load(config_path)
-    ats = readers.require_ids(readers.read_ats(spark, ats_path)).limit(1).withColumn("pair_id", F.lit(1))
+    ats = readers.require_ids(readers.read_ats(spark, ats_path)).withColumn("pair_id", F.lit(1))
+    if ats.limit(2).count() != 1:
+        raise ValueError(f"{ats_path} must hold one record")
     reader = readers.read_texts if resume_path.lower().endswith(".txt") else readers.read_documents
     requested = spark.createDataFrame([(resume_path.rsplit("/", 1)[-1],)], "resume_id string")
     try:
         texts = readers.with_requested(reader(spark, resume_path), requested)
         texts = texts.select("resume_id", "raw_text")
         texts.schema
-    except Exception:  # a document that isn't there is an empty one
+    except AnalysisException as error:  # a document that isn't there is an empty one
+        if not readers.is_absent(error):
+            raise
         texts = requested.withColumn("raw_text", F.lit(""))
     profiles = integrate(ats, texts.withColumn("pair_id", F.lit(1)), config).persist()
     canonical = profiles.select(F.to_json(F.struct(*CANONICAL), {"ignoreNullFields": "false"}).alias("j")).first()[0]

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,12 +16,24 @@ Reader = Callable[[SparkSession, str], DataFrame]
 UNKNOWN = "UNKNOWN"
 
 
+def is_absent(error: AnalysisException) -> bool:
+    """Whether a path that isn't there is all that is wrong."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def read_ats(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row for each JSON object (one object a file). Unknown keys are dropped;
-    a malformed file is the candidate UNKNOWN. ``invalid`` marks records without
-    a candidate_id, which callers refuse (see ``require_ids``)."""
+    a malformed file, or a path that isn't there, is the candidate UNKNOWN.
+    ``invalid`` marks records without a candidate_id, which callers refuse (see
+    ``require_ids``)."""
     schema = T.StructType([*ATS.fields, T.StructField("_corrupt", T.StringType())])
-    raw = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
+    try:
+        raw = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
+    except AnalysisException as error:
+        if not is_absent(error):
+            raise
+        nothing = [F.lit(UNKNOWN if f.name == "candidate_id" else None).cast(f.dataType).alias(f.name) for f in ATS.fields]
+        return spark.range(1).select(*nothing, F.lit(False).alias("invalid"), F.lit(str(path)).alias("path"))
     bad = F.col("_corrupt").isNotNull()
     rows = raw.withColumn("candidate_id", F.when(bad, UNKNOWN).otherwise(F.col("candidate_id")))
     nulled = [F.when(~bad, F.col(f.name)).alias(f.name) if f.name != "candidate_id" else F.col("candidate_id") for f in ATS.fields]

@@ -67,3 +67,18 @@ def test_query_equals_its_sql(spark, name):
 def test_entry(spark):
     assert entry.entry(spark).count() == 150
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_a_record_that_is_not_there(spark, files):
+    from rosterloom.sources import readers
+
+    row = readers.read_ats(spark, str(files / "none.json")).first()
+    assert row["candidate_id"] == readers.UNKNOWN and row["full_name"] is None and not row["invalid"]
+    out = pipeline.run_pair(spark, str(files / "none.json"), str(files / "none.txt"), str(files / "config.yaml"), str(files / "absent"))
+    assert out["canonical"]["candidate_id"] == readers.UNKNOWN
+
+
+def test_two_records_in_one_file_are_refused(spark, files):
+    (files / "two.json").write_text(json.dumps([ATS, ATS]))
+    with pytest.raises(ValueError, match="one record"):
+        pipeline.run_pair(spark, str(files / "two.json"), str(files / "resume.txt"), str(files / "config.yaml"), str(files / "out2"))
