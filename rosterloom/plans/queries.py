@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rosterloom.functions import dims
 from rosterloom.functions.dims import EMAIL, FIELD_IMPORTANCE, PHONE
-from rosterloom.functions.similarity import token_sort_ratio
+from rosterloom.functions.similarity import pair_ratios
 from rosterloom.operators import extract, match, merge, normalize, project, scoring, sections, validate
 from rosterloom.plans import pipeline
 
@@ -174,9 +174,7 @@ def match_tiered(spark, sf_dir):
 def part_similarity(spark, sf_dir):
     """Names of parts of one brand and size, each pair once."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("n"), "p_brand", "p_size")
-    a, b = (part.withColumnsRenamed({"p_partkey": f"{x}_key", "n": f"{x}_name"}) for x in "ab")
-    pairs = a.join(b, ["p_brand", "p_size"]).where("a_key < b_key")
-    return pairs.select("a_key", "b_key", F.round(token_sort_ratio("a_name", "b_name"), 6).alias("ratio"))
+    return pair_ratios(part, ["p_brand", "p_size"], "p_partkey", "n", 6)
 
 
 def _pairs(spark, sf_dir):

@@ -111,3 +111,28 @@ def test_batch_mode_keeps_unmatched_records(spark):
 def test_validation(spark):
     made = q.profiles(spark, SF).limit(2)
     assert all(r["valid"] for r in validate.validate(made).select("valid").collect())
+
+
+def test_pairs_of_a_group_over_several_blocks(spark, monkeypatch):
+    from rosterloom.functions import similarity
+
+    monkeypatch.setattr(similarity, "BLOCK", 4)
+    names = ["", " ", "hot bolt", "bolt hot", "Ärger ring", "a" * 70 + " b", "b " + "a" * 64, "x" * 64, "x" * 63 + "y", "new \U0001f600 rod", "hot bolt", "rod"]
+    rows = [(None if i == 5 else i // 2 if i < 4 else i, n, "B" if g else "A", None if g == 2 else g) for g in range(3) for i, n in enumerate(names)]
+    part = spark.createDataFrame(rows, "p long, n string, brand string, size int")
+    got = similarity.pair_ratios(part, ["brand", "size"], "p", "n", 6)
+    want = [(x[0], y[0], round(similarity.ratio(x[1], y[1]), 6)) for x in rows for y in rows if None not in (x[0], y[0], x[3]) and x[2:] == y[2:] and x[0] < y[0]]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
+def test_names_are_compared_once_however_many_rows_have_them(monkeypatch):
+    from rosterloom.functions import similarity
+
+    compared, plain = [], similarity.common_subsequences
+    monkeypatch.setattr(similarity, "common_subsequences", lambda a, b: compared.append(len(a) * len(b)) or plain(a, b))
+    known, names = similarity._Ratios(6, 40), [f"part {i}" for i in range(20)]
+    first = known.of(names, names)
+    assert all((known.of(names[::-1], names[:k]) == first[::-1, :k]).all() for k in range(1, 20)) and sum(compared) == 400
+    # with more names than are kept it starts anew
+    more = known.of([f"bolt {i}" for i in range(30)], names[:10])
+    assert more[3, 4] == round(similarity.ratio("bolt 3", "part 4"), 6) and (known.of(names, names) == first).all()
