@@ -153,6 +153,7 @@ class Network:
         self.place = rng.normal(1.0 / (2 * side), 0.1, (2 * side, width)).astype(np.float32)
         self.out = rng.normal(0, 0.1, (classes or size, width)).astype(np.float32)
         self.bias = np.zeros(classes or size, np.float32)
+        self._rooms: dict[str, np.ndarray] = {}
 
     def parameters(self) -> list[np.ndarray]:
         return [self.vector, self.place, self.out, self.bias]
@@ -167,11 +168,30 @@ class Network:
             at += p.size
         return self
 
-    def hidden(self, around: np.ndarray) -> np.ndarray:
-        total = np.zeros((len(around), self.width), np.float32)
-        for k in range(2 * self.side):
-            total += self.vector[around[:, k]] * self.place[k]
-        return np.tanh(total, out=total)
+    def _room(self, name: str, *shape: int) -> np.ndarray:
+        """Memory that is used again: fresh pages cost more than what is written to them."""
+        found = self._rooms.get(name)
+        if found is None or len(found) < shape[0]:
+            found = self._rooms[name] = np.empty(shape, np.float32)
+        return found[: shape[0]]
+
+    def _spread(self) -> np.ndarray:
+        """Each side's ``place`` on a diagonal, one below the other: a product with all
+        vectors around, side by side, weighs and adds them."""
+        return (self.place[:, :, None] * np.eye(self.width, dtype=np.float32)).reshape(-1, self.width)
+
+    def _beside(self) -> np.ndarray:
+        """``out`` and, as its last column, ``bias``."""
+        return np.concatenate([self.out, self.bias[:, None]], 1)
+
+    def _hidden(self, around: np.ndarray, spread: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hidden values and a column of ones, and the vectors around, side by side."""
+        n = len(around)
+        near = self.vector.take(around, 0, out=self._room("near", n, 2 * self.side, self.width), mode="clip").reshape(n, -1)
+        h = self._room("hidden", n, self.width + 1)
+        np.tanh(np.matmul(near, spread, out=self._room("total", n, self.width)), out=h[:, :-1])
+        h[:, -1] = 1
+        return h, near
 
     def _safe(self) -> bool:
         """Hidden values are within 1, so this bounds all logits; small ones need no shift."""
@@ -180,50 +200,51 @@ class Network:
     def log_probs(self, around: np.ndarray, target: np.ndarray, part: int = 512) -> np.ndarray:
         """Of each target given what stands around, in parts that fit a core's cache."""
         got = np.zeros(len(target), np.float32)
-        safe = self._safe()
+        safe, spread, beside = self._safe(), self._spread(), self._beside()
+        ones = np.ones(len(beside), np.float32)
         for a in range(0, len(target), part):
-            h, own = self.hidden(around[a : a + part]), target[a : a + part]
-            logit = h @ self.out.T
-            logit += self.bias
-            top = np.zeros(len(own), np.float32)
+            own = target[a : a + part]
+            h, _ = self._hidden(around[a : a + part], spread)
+            logit = np.matmul(h, beside.T, out=self._room("logit", len(own), len(beside)))
             if not safe:
-                top = logit.max(1)
-                logit -= top[:, None]
+                logit -= logit.max(1, keepdims=True)
             got[a : a + part] = logit[np.arange(len(own)), own]
-            got[a : a + part] -= np.log(np.exp(logit, out=logit).sum(1))
+            got[a : a + part] -= np.log(np.exp(logit, out=logit) @ ones)
         return got
 
-    def step(self, around: np.ndarray, target: np.ndarray, sums: list[np.ndarray], rate: float, part: int = 2048) -> None:
+    def step(self, around: np.ndarray, target: np.ndarray, sums: list[np.ndarray], rate: float, part: int = 512) -> None:
         """One Adagrad step on the mean loss of a batch."""
-        n, h, safe = len(target), self.hidden(around), self._safe()
-        down, out, bias = np.zeros_like(h), np.zeros_like(self.out), np.zeros_like(self.bias)
+        n, safe, spread, beside = len(target), self._safe(), self._spread(), self._beside()
+        h, near = self._hidden(around, spread)
+        down, both, ones = self._room("down", n, self.width), np.zeros_like(beside), np.ones(len(beside), np.float32)
         for a in range(0, n, part):
             some, own = h[a : a + part], target[a : a + part]
-            p = some @ self.out.T
-            p += self.bias
+            p = np.matmul(some, beside.T, out=self._room("logit", len(own), len(beside)))
             if not safe:
                 p -= p.max(1, keepdims=True)
-            np.exp(p, out=p)
-            p *= (1 / (n * p.sum(1)))[:, None]
-            p[np.arange(len(own)), own] -= np.float32(1 / n)
-            down[a : a + part] = p @ self.out
-            out += p.T @ some
-            bias += p.sum(0)
-        down *= 1 - h * h
-        place, parts = np.zeros_like(self.place), np.empty((2 * self.side, n, self.width), np.float32)
-        for k in range(2 * self.side):
-            place[k] = np.einsum("ij,ij->j", down, self.vector[around[:, k]])
-            np.multiply(down, self.place[k], out=parts[k])
+            total = np.exp(p, out=p) @ ones
+            # the narrow sides of the products are scaled, not p
+            p[np.arange(len(own)), own] -= total
+            scale = (1 / (n * total))[:, None]
+            np.multiply(p @ self.out, scale, out=down[a : a + part])
+            both += p.T @ (some * scale)
+        down *= 1 - h[:, :-1] ** 2
+        place = np.einsum("jkj->kj", (down.T @ near).reshape(self.width, 2 * self.side, self.width))
+        parts = np.matmul(down, spread.T, out=self._room("parts", n, 2 * self.side * self.width)).reshape(-1, self.width)
         # vectors that stand nowhere around have no gradient and stay
-        flat = around.T.ravel()
+        flat = around.ravel()
         # few enough tokens are sorted by their digits
         order = np.argsort(flat.astype(np.uint16) if self.size < 1 << 16 else flat, kind="stable")
         flat = flat[order]
         starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-        used, vector = flat[starts], np.add.reduceat(parts.reshape(-1, self.width)[order], starts)
-        sums[0][used] += vector * vector
-        self.vector[used] -= rate * vector / np.sqrt(sums[0][used] + 1e-8)
-        for w, g, s in zip(self.parameters()[1:], (place, out, bias), sums[1:]):
+        apart = parts.take(order, 0, out=self._room("sorted", *parts.shape), mode="clip")
+        # two numbers are added at a time, where the width allows that
+        pairs = apart.view(np.complex64) if self.width % 2 == 0 else apart
+        used, vector = flat[starts], np.add.reduceat(pairs, starts).view(np.float32)
+        met = sums[0].take(used, 0) + vector * vector
+        sums[0][used] = met
+        self.vector[used] -= rate * vector / np.sqrt(met + 1e-8)
+        for w, g, s in zip(self.parameters()[1:], (place, both[:, :-1], both[:, -1]), sums[1:]):
             s += g * g
             w -= rate * g / np.sqrt(s + 1e-8)
 

@@ -353,3 +353,41 @@ def test_each_form_of_a_licence_rule_holds_its_keyword():
 
 def test_ids_are_those_of_the_contract():
     assert zlib.crc32(b"17") % 4 == int(zlib.crc32(str(17).encode()) % 4)
+
+
+@pytest.mark.parametrize("width", [6, 5])
+def test_a_step_of_the_network_is_that_of_a_plain_version(width):
+    rng = np.random.default_rng(3)
+    net = masked_lm.Network(30, width=width, classes=12)
+    # beyond what is safe without a shift, every other time
+    net.out *= 40 if width == 5 else 1
+    around, target = rng.integers(0, 30, (700, 6)), rng.integers(0, 12, 700)
+    vector, place, out, bias = (p.astype(float) for p in net.parameters())
+    near = vector[around]
+    h = np.tanh((near * place).sum(1))
+    logit = h @ out.T + bias
+    log_p = logit - logit.max(1, keepdims=True)
+    log_p -= np.log(np.exp(log_p).sum(1, keepdims=True))
+    assert np.allclose(net.log_probs(around, target), log_p[np.arange(700), target], rtol=1e-4, atol=1e-4)
+    wrong = (np.exp(log_p) - np.eye(12)[target]) / 700
+    down = (wrong @ out) * (1 - h * h)
+    grads = [np.zeros_like(vector), (near * down[:, None]).sum(0), wrong.T @ h, wrong.sum(0)]
+    np.add.at(grads[0], around, down[:, None] * place)
+    sums = [np.full_like(p, 1e-2) for p in net.parameters()]
+    net.step(around, target, sums, 0.05)
+    for got, was, g in zip(net.parameters(), (vector, place, out, bias), grads):
+        assert np.allclose(got, was - 0.05 * g / np.sqrt(1e-2 + g * g + 1e-8), atol=2e-5)
+
+
+def test_logits_are_written_to_memory_that_is_used_again():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    net = masked_lm.Network(300)
+    around, target = rng.integers(0, 300, (1024, 6)), rng.integers(0, 300, 1024)
+    net.log_probs(around, target)
+    tracemalloc.start()
+    net.log_probs(around, target)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 512 * 300 * 4 / 2
